@@ -1,0 +1,2 @@
+"""Incremental ingestion. There is no streaming query here: batches add to the text store and the URL log, and
+left-anti joins on the digest (operators.corpus.new_artifacts) keep what is there from being done again."""
