@@ -84,9 +84,14 @@ def _lcs(masks: dict[str, int], m: int, text: str) -> int:
 def partial_ratio(a: str | None, b: str | None) -> int:
     """Best indel ratio (0 to 100, cut to whole numbers) of the shorter string and a stretch of the longer.
 
-    Stretches are as long as the short string, or cut by an end of the long one. Two empty strings give 100, one gives 0.
+    Stretches are as long as the short string, or cut by an end of the long one; of strings of one length each is taken
+    as the short one. Two empty strings give 100, one gives 0.
     """
     a, b = a or "", b or ""
+    return max(_one_sided(a, b), _one_sided(b, a)) if len(a) == len(b) else _one_sided(a, b)
+
+
+def _one_sided(a: str, b: str) -> int:
     if len(a) > len(b):
         a, b = b, a
     if not a:
