@@ -116,7 +116,7 @@ def _sample(labelled: DataFrame, rows: int) -> pd.DataFrame:
             yield pd.DataFrame({"lang": pdf.lang, "rank": pdf["rank"], "idx": [g[0].tolist() for g in got], "n": [g[1].tolist() for g in got]})
 
     pdf = labelled.where(keep).mapInPandas(run, "lang string, rank long, idx array<int>, n array<long>").toPandas()
-    pdf = pdf[[len(x) > 0 for x in pdf.idx]].sort_values(["lang", "rank"], kind="stable")
+    pdf = pdf[np.array([len(x) > 0 for x in pdf.idx], dtype=bool)].sort_values(["lang", "rank"], kind="stable")
     return pdf.groupby("lang").head(share)
 
 

@@ -115,7 +115,7 @@ def _fit_link(rows: list[np.ndarray], before: np.ndarray, y: np.ndarray, rounds:
     """Logistic regression by accelerated gradient steps; rare positives are not reweighted, so scores stay calibrated."""
     k = before.shape[1]
     if len(y) == 0 or y.min() == y.max():
-        rate = (y.sum() + 0.5) / (len(y) + 1)
+        rate = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 1e-6  # nothing learned: nothing is found
         return Link(np.empty(0, np.uint64), np.zeros(0), np.zeros(k), float(np.log(rate / (1 - rate))))
     features = _choose(rows, y)
     hits = []
