@@ -173,7 +173,7 @@ def test_toxicity_held_out(spark):
     model = toxicity.fit_from_labels(d, labels.where("doc_id % 3 <> 0"))
     got = toxicity.classify(d, labels, model).join(labels.where("doc_id % 3 = 0"), "doc_id").select(labels["toxic"].alias("y"), "p_toxic").toPandas()
     said = got.p_toxic >= model.thresholds[-1]
-    assert (said == (got.y == 1)).mean() >= 0.95 and (said & (got.y == 0)).sum() <= 2
+    assert (said == (got.y == 1)).mean() >= 0.95 and (said & (got.y == 0)).sum() <= 0.005 * (got.y == 0).sum()
 
 
 def test_toxicity_odd(spark, odd, none):

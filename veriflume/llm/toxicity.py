@@ -95,7 +95,7 @@ class ChainModel:
 
 
 def _choose(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Words in several rows whose share of positive rows stands out most from the mean."""
+    """Words in several rows whose share of positive rows differs from the mean by more than chance."""
     every, n = np.unique(np.concatenate([*rows, np.empty(0, np.uint64)]), return_counts=True)
     every, n = every[n >= MIN_ROWS], n[n >= MIN_ROWS]
     if not len(every):
@@ -107,8 +107,12 @@ def _choose(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
             at[at == len(every)] = 0
             pos[at[every[at] == r]] += 1
     mean = y.mean()
-    z = np.abs(pos - mean * n) / np.sqrt(n * mean * (1 - mean) + 1e-9)
-    return np.sort(every[np.argsort(-z, kind="stable")[:FEATURES]])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.nan_to_num(pos * np.log(pos / (n * mean))) + np.nan_to_num((n - pos) * np.log((n - pos) / (n * (1 - mean))))
+    # twice the gain is a likelihood ratio; chance alone would pass less than one word in five
+    kept = gain >= np.log(5.0 * len(every))
+    every, gain = every[kept], gain[kept]
+    return np.sort(every[np.argsort(-gain, kind="stable")[:FEATURES]])
 
 
 def _fit_link(rows: list[np.ndarray], before: np.ndarray, y: np.ndarray, rounds: int = 150, l2: float = 2e-4) -> Link:
