@@ -21,7 +21,7 @@ from .common import crc_mod, free_name, need
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 13
 #: Bound of the sample of labelled rows for training, and of those for calibration.
-TRAIN_ROWS, CALIBRATION_ROWS = 3000, 1500
+TRAIN_ROWS, CALIBRATION_ROWS = 2400, 1200
 #: Characters handled at once; longer texts go through in blocks that share the context of an n-gram.
 BLOCK = 1 << 19
 
@@ -113,9 +113,9 @@ def _sample(labelled: DataFrame, rows: int) -> pd.DataFrame:
     def run(batches):
         for pdf in batches:
             got = [counts(t) for t in pdf.text]
-            yield pd.DataFrame({"lang": pdf.lang, "rank": pdf["rank"], "idx": [g[0].tolist() for g in got], "n": [g[1].tolist() for g in got]})
+            yield pd.DataFrame({"lang": pdf.lang, "rank": pdf["rank"], "idx": [g[0].astype(np.int32).tobytes() for g in got], "n": [g[1].astype(np.float32).tobytes() for g in got]})
 
-    pdf = labelled.where(keep).mapInPandas(run, "lang string, rank long, idx array<int>, n array<long>").toPandas()
+    pdf = labelled.where(keep).mapInPandas(run, "lang string, rank long, idx binary, n binary").toPandas()
     pdf = pdf[np.array([len(x) > 0 for x in pdf.idx], dtype=bool)].sort_values(["lang", "rank"], kind="stable")
     return pdf.groupby("lang").head(share)
 
@@ -123,7 +123,8 @@ def _sample(labelled: DataFrame, rows: int) -> pd.DataFrame:
 def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     x = np.zeros((len(pdf), 1 << BUCKET_BITS), dtype=np.float32)
     for i, (idx, n) in enumerate(zip(pdf.idx, pdf.n, strict=True)):
-        x[i, np.asarray(idx)] = np.asarray(n) / np.sum(n)
+        c = np.frombuffer(n, dtype=np.float32)
+        x[i, np.frombuffer(idx, dtype=np.int32)] = c / c.sum()
     return x
 
 
@@ -159,7 +160,7 @@ def fit(labelled: DataFrame, calibration: DataFrame, dim: int = 16, epochs: int
     model = LanguageModel(langs, (emb @ soft).astype(np.float64), bias.astype(np.float64))
     held = held[held.lang.isin(langs)]
     if len(held):
-        z, t = _matrix(held).astype(np.float64) @ model.table, np.array([number[v] for v in held.lang])
+        z, t = _matrix(held) @ model.table.astype(np.float32), np.array([number[v] for v in held.lang])
 
         def loss(temperature: float) -> float:
             model.temperature = temperature

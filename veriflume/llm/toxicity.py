@@ -188,10 +188,10 @@ def fit(labelled: DataFrame, categories: list[str]) -> ChainModel:
         for pdf in batches:
             got = [words(t) for t in pdf.text]
             got = [np.sort(g[np.argsort(g * np.uint64(_BASE), kind="stable")[:WORDS_PER_ROW]]) for g in got]  # an even choice beyond the bound
-            yield pd.DataFrame({"rank": pdf["rank"], "y": pdf.y, "words": [g.view(np.int64).tolist() for g in got]})
+            yield pd.DataFrame({"rank": pdf["rank"], "y": pdf.y, "words": [g.tobytes() for g in got]})
 
-    pdf = rows.mapInPandas(run, "rank long, y array<int>, words array<long>").toPandas().sort_values("rank", kind="stable").head(SAMPLE_ROWS)
-    sets = [np.asarray(w, dtype=np.int64).view(np.uint64) for w in pdf.words]
+    pdf = rows.mapInPandas(run, "rank long, y array<int>, words binary").toPandas().sort_values("rank", kind="stable").head(SAMPLE_ROWS)
+    sets = [np.frombuffer(w, dtype=np.uint64) for w in pdf.words]
     labels = np.array([list(y) for y in pdf.y]).reshape(len(pdf), len(categories))
     return fit_chain(sets, labels, categories)
 
