@@ -12,6 +12,7 @@ vocabulary of 50,000 tokens would need billions of cells. Looked-up cells are re
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -28,9 +29,9 @@ from .common import need
 #: Code points with the Unicode property White_Space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Distinct chunks of text whose encoding a worker remembers.
-CHUNK_MEMO = 200_000
+CHUNK_MEMO = 500_000
 #: Distinct words, after normalising, whose ids a worker remembers.
-WORD_MEMO = 300_000
+WORD_MEMO = 600_000
 #: Transition cells that a worker remembers.
 CELL_MEMO = 1_500_000
 
@@ -223,6 +224,8 @@ def tokenizer(spec: str) -> BpeTokenizer:
     key = hashlib.md5(spec.encode()).hexdigest()
     if key not in _built:
         _built[key] = BpeTokenizer(spec)
+        gc.freeze()  # the tables live as long as the worker; looking through them for garbage is in vain
+        gc.set_threshold(300_000)
     return _built[key]
 
 
