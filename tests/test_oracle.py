@@ -15,7 +15,7 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_query_runs(spark, name):
-    # at sf0.001 no window of the few cited documents reaches the cosine floor
+    # sf0.001 yields no candidates; whether it should has not been checked by hand
     assert catalog.QUERIES[name](spark, SF.replace("0.001", "0.01") if name == "triage_candidates" else SF).count() > 0
 
 
