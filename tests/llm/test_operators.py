@@ -277,9 +277,17 @@ def test_fingerprints_brute_force(spark):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
         assert (r.fingerprint, r.edited_fingerprint) == (editfp.fingerprint(text), editfp.fingerprint(new))
         assert r.near_edited == editfp.likeness(r.fingerprint, r.edited_fingerprint) and r.near_next == editfp.likeness(r.fingerprint, editfp.fingerprint(following))
+    fine = editfp.fingerprint_documents(d, run_rows=3, run_chars=4000)
+    assert {r.doc_id: r for r in fine.collect()} == got and fine.rdd.getNumPartitions() > 30
     assert np.mean([r.near_edited for r in got.values()]) > np.mean([r.near_next for r in got.values()]) + 0.3
 
 
+def test_joined_ranges():
+    assert editfp.joined_ranges([5, 5, 5, 5], run_chars=10, fewest=1) == [0, 2]
+    assert editfp.joined_ranges([1, 50, 1, 1], run_chars=10, fewest=1) == [0, 1, 2]
+    assert editfp.joined_ranges([1] * 32, run_chars=1000, fewest=16) == list(range(0, 32, 2)) and editfp.joined_ranges([], 10) == []
+
+
 def test_fingerprints_odd(odd, none):
     assert editfp.fingerprint_documents(odd).count() == 11
     assert editfp.fingerprint_documents(none).count() == 0

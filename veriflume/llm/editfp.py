@@ -15,7 +15,7 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, need
@@ -24,6 +24,8 @@ from .components import components
 SAMPLES, CLASSES, PERIOD = 64, 64, 1 << 14
 SEED = 20240229
 END = 0  # sample behind the end of a text
+#: Characters that one task fingerprints (unless one range of ids holds more), and the most ranges that are weighed.
+RUN_CHARS, MAX_RANGES = 16 << 20, 20_000
 
 
 @cache
@@ -100,50 +102,65 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-def fingerprint_documents(docs: DataFrame, run_rows: int = 20_000) -> DataFrame:
+def _range_of(cuts: list[int]) -> Column:
+    """Number of the range of ids that a row lies in; null ids lie in the first."""
+    doc_id = F.col("doc_id")
+    if len(cuts) > 200:  # a binary search instead of a scan of the bounds
+        edges = np.array(cuts, dtype=np.int64)
+
+        @F.pandas_udf("int")
+        def find(x: pd.Series) -> pd.Series:
+            return pd.Series(np.where(x.isna(), 0, np.searchsorted(edges, x.fillna(0).to_numpy(dtype=np.int64), "right")).astype(np.int32))
+
+        return find(doc_id)
+    place = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= doc_id)) if cuts else F.lit(0)
+    return F.when(doc_id.isNull(), 0).otherwise(place).cast("int")
+
+
+def joined_ranges(chars: list[int], run_chars: int, fewest: int = 16) -> list[int]:
+    """First range of each run: neighbouring ranges are joined while they hold at most ``run_chars`` characters, or
+    the share of one in ``fewest`` runs if that is less."""
+    room = max(1, min(run_chars, -(-sum(chars) // fewest)))
+    out, held = [], 0
+    for i, n in enumerate(chars):
+        if not out or held + n > room:
+            out.append(i)
+            held = 0
+        held += n
+    return out
+
+
+def fingerprint_documents(docs: DataFrame, run_rows: int = 256, run_chars: int = RUN_CHARS) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every whole text.
 
     The next document is the next doc_id upwards, after the last the first; rows that repeat an id follow each other by
     text, null ids come first. Null text is empty. A table of one row follows itself.
 
-    Ids are cut into ranges of about ``run_rows`` rows; each range also gets the first row of the next one. So texts
-    move once, each range is read in order with one row of foresight, and nothing is ordered in a single task.
+    Ids are cut into ranges of about ``run_rows`` rows, and these are joined to runs of about ``run_chars`` characters,
+    each read by a task of its own; each run also gets the first row of the next one. So texts move once, each run is
+    read in order with one row of foresight, long texts don't gather in one task, and nothing is ordered in one.
     """
     need(docs, "doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = rows.where("doc_id is not null")
     n = rows.count()
-    runs = max(1, min(20_000, -(-n // run_rows)), min(16, n // 64))
-    cuts = ids.approxQuantile("doc_id", [i / runs for i in range(1, runs)], 0.1 / runs) if runs > 1 and n else []
+    ranges = max(1, min(MAX_RANGES, n // run_rows), min(128, n // 8))
+    cuts = ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 and n else []
     cuts = sorted({int(c) for c in cuts})
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else None
-    run = F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))) if bounds is not None else F.lit(0)
-    run = F.when(F.col("doc_id").isNull(), 0).otherwise(run).cast("int")
-    if len(cuts) > 200:  # a binary search instead of a scan of the bounds
-        edges = np.array(cuts, dtype=np.int64)
-
-        @F.pandas_udf("int")
-        def find(x: pd.Series) -> pd.Series:
-            return pd.Series(np.where(x.isna(), 0, np.searchsorted(edges, x.fillna(0).to_numpy(dtype=np.int64), "right")).astype(np.int32))
-
-        run = find(F.col("doc_id"))
-    placed = rows.withColumn("run", run)
-    # first row of each run: its smallest id (null before all), then its smallest text
-    first_id = placed.groupBy("run").agg(F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("has_null"))
-    first_id = first_id.select("run", F.when(~F.col("has_null"), F.col("least")).alias("least"))
-    heads = first_id.collect()  # one row per run
-    following = {}
-    order = sorted(r["run"] for r in heads)
-    for a, b in zip(order, [*order[1:], *order[:1]], strict=True):
-        following[b] = a  # the first row of run b closes run a
-    if heads:
-        spark = docs.sparkSession
-        closing = spark.createDataFrame([(following[r["run"]], r["least"]) for r in heads], "to_run int, least long")
+    # weight and first row of each range: its smallest id (null before all)
+    weighed = rows.withColumn("range", _range_of(cuts)).groupBy("range")
+    weighed = weighed.agg(F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("has_null"), F.sum(F.length("text") + 1).alias("chars"))
+    heads = sorted(weighed.collect())  # one row per range
+    starts = joined_ranges([r["chars"] for r in heads], run_chars)
+    leasts = [None if heads[i]["has_null"] else heads[i]["least"] for i in starts]
+    cuts = [cuts[heads[i]["range"] - 1] for i in starts[1:]]  # run j lies between the cuts j - 1 and j
+    placed = rows.withColumn("run", _range_of(cuts)).withColumn("closing", F.lit(False))
+    if leasts:
+        closing = docs.sparkSession.createDataFrame([((i - 1) % len(leasts), least) for i, least in enumerate(leasts)], "to_run int, least long")
+        # the first row of a run, of rows with its smallest id that with the smallest text, closes the run before
         texts = rows.join(F.broadcast(closing), F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("to_run").agg(F.min("text").alias("text"))
         last = texts.select(F.lit(None).cast("long").alias("doc_id"), "text", F.col("to_run").alias("run"), F.lit(True).alias("closing"))
-        placed = placed.withColumn("closing", F.lit(False)).unionByName(last)
-    else:
-        placed = placed.withColumn("closing", F.lit(False))
+        placed = placed.unionByName(last)
 
     def work(batches):
         held = None  # the row that waits for the one after it
@@ -171,8 +188,7 @@ def fingerprint_documents(docs: DataFrame, run_rows: int = 20_000) -> DataFrame:
                 {c: [r[i] for r in out] for i, c in enumerate(("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"))}
             ).astype({"doc_id": "Int64"})
 
-    tasks = max(1, min(len(cuts) + 1, 20_000))
-    ordered = placed.repartition(tasks, "run").sortWithinPartitions("run", "closing", F.col("doc_id").asc_nulls_first(), "text")
+    ordered = placed.repartitionById(len(cuts) + 1, "run").sortWithinPartitions("run", "closing", F.col("doc_id").asc_nulls_first(), "text")
     return ordered.mapInPandas(work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
