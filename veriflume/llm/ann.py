@@ -2,7 +2,9 @@
 
 Vectors are cut in halves, and each half is quantised by its own k-means; a cell is a pair of centroids. A query visits
 cells by the sum of its two half distances, smallest first, which a heap finds without sorting all pairs, until the
-cells visited hold the wanted share of all entries; these are reranked by the exact inner product.
+cells visited hold the wanted number of entries; these are reranked by the exact inner product. How many are wanted is
+measured: the true neighbours of a fixed number of probe queries come from one pass over all entries, and the visit is
+made as long as the aimed share of them needs. So clustered vectors get short visits, and isotropic ones long visits.
 
 Equal vectors are one entry that carries its smallest ids: beyond ``k + 1`` of them no id can be among the nearest.
 """
@@ -20,10 +22,10 @@ from .common import materialise, need
 
 #: Vectors that the quantisers are fitted on, at most; centroids per half, at most.
 SAMPLE, MAX_CENTROIDS = 20_000, 256
-#: Share of the entries that a query visits (at least VISIT_MIN of them).
-VISIT, VISIT_MIN = 0.5, 2000
-#: Entries of one block and queries of one block that meet in a task.
-ENTRY_BLOCK, QUERY_BLOCK = 16_384, 8192
+#: Recall that visits aim at, the queries it is measured on, and the fewest entries of a visit.
+AIM, PROBES, VISIT_MIN = 0.95, 128, 2000
+#: Entries of one block and queries of one block that meet in a task; queries whose visits one task plans.
+ENTRY_BLOCK, QUERY_BLOCK, PLAN_BLOCK = 16_384, 8192, 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -75,12 +77,51 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(axis=1)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, visit_share: float = VISIT) -> DataFrame:
+def measured_visit(celled: DataFrame, queries: DataFrame, halves: list[np.ndarray], counts: np.ndarray, k: int, aim: float = AIM) -> int:
+    """Entries that a visit must hold to meet ``aim`` of the true ``k`` nearest of the probes (smallest hashes first).
+
+    Each task keeps the best ``k`` of each probe, so what is ranked is bounded by the number of tasks.
+    """
+    probes = queries.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(PROBES).toPandas()
+    if not len(probes):
+        return 0
+    q = np.stack([np.asarray(v) for v in probes.embedding])
+    shared = celled.sparkSession.sparkContext.broadcast((q, probes.vec_id.to_numpy()))
+
+    def best(batches):
+        q_, own = shared.value
+        kept = pd.DataFrame({"probe": np.empty(0, np.int32), "score": np.empty(0), "cell": np.empty(0, np.int32)})
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            scores = q_ @ np.stack([np.asarray(v) for v in pdf.embedding]).T
+            first, lone = np.array([i[0] for i in pdf.ids]), np.array([len(i) == 1 for i in pdf.ids])
+            scores[(own[:, None] == first) & lone] = -np.inf
+            top = min(k, len(pdf))
+            at = np.argpartition(-scores, top - 1, axis=1)[:, :top]
+            found = pd.DataFrame({"probe": np.repeat(np.arange(len(q_), dtype=np.int32), top), "score": np.take_along_axis(scores, at, axis=1).ravel(), "cell": pdf.cell.to_numpy()[at.ravel()]})
+            kept = pd.concat([kept, found[np.isfinite(found.score)]]).sort_values("score", ascending=False).groupby("probe").head(k)
+        yield kept
+
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "cell")
+    near = celled.mapInPandas(best, "probe int, score double, cell int").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    near, half, reach = near.select("probe", "cell").toPandas(), halves[0].shape[1], []
+    for i, cells in near.groupby("probe")["cell"]:
+        far = -((halves[0] @ q[i][:half])[:, None] + (halves[1] @ q[i][half:])[None, :]).ravel()
+        by = np.argsort(far, kind="stable")
+        held = np.empty(len(far), dtype=np.int64)
+        held[by] = np.cumsum(counts[by])
+        reach += held[cells.to_numpy()].tolist()
+    return int(np.quantile(reach, aim, method="higher")) if reach else 0
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, visit_share: float | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query row, by largest inner product.
 
     Ties go to the smaller vec_id. Vectors that are null, zero or hold null or non-finite values take no part, nor do
     rows without an id or of another length than most. Rows that repeat id and vector count once. With fewer candidates
-    than k all are returned (the visit then covers every cell).
+    than k all are returned (the visit then covers every cell). ``visit_share`` fixes the share of all entries that a
+    visit holds; by default it is measured.
     """
     spark = vectors.sparkSession
     rows = materialise(usable(vectors), "vectors")
@@ -127,51 +168,63 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, visit_share: floa
                 groups, held = groups + 1, 0
             group_of[c] = groups
             held += counts[c]
-    want = int(min(n, max(visit_share * n, VISIT_MIN, k + 2)))
-    plan = spark.sparkContext.broadcast((counts, group_of, blocks_of))
-    n_queries = rows.where(is_query).count()
-    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
+    queries = rows.where(is_query).select("vec_id", "embedding")
+    wanted = measured_visit(celled, queries, halves, counts, k) if visit_share is None else visit_share * n
+    want = int(min(n, max(wanted, VISIT_MIN, k + 2)))
+    first_cell = np.searchsorted(group_of, group_of, "left")  # of the group that a cell lies in
+    plan = spark.sparkContext.broadcast((counts, group_of, blocks_of, first_cell))
 
     def spread_entries(batches):
-        _, group_of_, blocks_of_ = plan.value
+        _, group_of_, blocks_of_, _ = plan.value
         for pdf in batches:
             cell = pdf.cell.to_numpy()
             salt = np.array([int(i[0]) for i in pdf.ids], dtype=np.int64)
             yield pdf.assign(grp=(group_of_[cell] + (salt * 0x9E3779B1 >> 7) % blocks_of_[cell]).astype(np.int64))
 
     def spread_queries(batches):
-        counts_, group_of_, blocks_of_ = plan.value
+        counts_, group_of_, blocks_of_, first_ = plan.value
         h1, h2 = model.value
         for pdf in batches:
             out = []
             for vec_id, e in zip(pdf.vec_id, pdf.embedding, strict=True):
                 q = np.asarray(e)
-                cells = np.array(visit(-(h1 @ q[:half]), -(h2 @ q[half:]), counts_, want), dtype=np.int64)
-                g = group_of_[cells]
-                order = np.argsort(g, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(g[order])) + 1):
-                    for b in range(int(blocks_of_[cells[part]].max())):
-                        out.append((int(g[part[0]]) + b, vec_id, e, cells[part].tolist()))
-            yield pd.DataFrame(out, columns=["grp", "query_id", "q", "cells"])
-
-    left = celled.mapInPandas(spread_entries, "embedding array<double>, ids array<long>, cell int, grp long")
-    left = left.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))) if query_blocks > 1 else left.withColumn("qb", F.lit(0))
-    right = rows.where(is_query).select("vec_id", "embedding").distinct().mapInPandas(spread_queries, "grp long, query_id long, q array<double>, cells array<int>")
-    right = right.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+                cells = np.sort(np.array(visit(-(h1 @ q[:half]), -(h2 @ q[half:]), counts_, want), dtype=np.int64))
+                for part in np.split(cells, np.flatnonzero(np.diff(group_of_[cells])) + 1):
+                    first = int(first_[part[0]])
+                    bits = np.zeros(int(part[-1]) - first + 1, dtype=np.uint8)  # the cells of the group that are visited
+                    bits[part - first] = 1
+                    packed = np.packbits(bits).tobytes()
+                    for b in range(int(blocks_of_[part].max())):
+                        out.append((int(group_of_[part[0]]) + b, vec_id, e, first, packed))
+            yield pd.DataFrame(out, columns=["grp", "query_id", "q", "first", "cells"])
+
+    # adaptive execution would plan all visits in one task, so small is their input
+    tasks = max(1, min(20_000, -(-queries.count() // PLAN_BLOCK)))
+    planned = queries.repartition(tasks, "vec_id", "embedding").distinct()
+    visits = materialise(planned.mapInPandas(spread_queries, "grp long, query_id long, q array<double>, first int, cells binary"), "visits")
+    # a group's entries are repeated once per block of the queries that come to it; where none comes they go nowhere
+    loads = visits.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    left = celled.mapInPandas(spread_entries, "embedding array<double>, ids array<long>, cell int, grp long").join(loads, "grp")
+    left = left.withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    right = visits.join(loads, "grp").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).drop("blocks")
 
     def meet(entry: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]
         if not len(entry) or not len(query):
             return pd.DataFrame(columns=columns)
-        entry = entry.sort_values("cell", kind="stable")
-        e, cell, ids = np.stack([np.asarray(v) for v in entry.embedding]), entry.cell.to_numpy(), entry.ids.to_list()
+        first = int(query["first"].iloc[0])
+        span = int(entry.cell.max()) - first + 1  # no visited cell that holds an entry of this block lies beyond
+        e, cell, ids = np.stack([np.asarray(v) for v in entry.embedding]), entry.cell.to_numpy() - first, entry.ids.to_list()
         out = []
         for i in range(0, len(query), 256):
             part = query.iloc[i : i + 256]
             q = np.stack([np.asarray(v) for v in part.q])
             scores = q @ e.T
             for r, (query_id, cells) in enumerate(zip(part.query_id, part.cells, strict=True)):
-                seen = np.flatnonzero(np.isin(cell, cells))
+                marks = np.zeros(span, dtype=bool)
+                bits = np.unpackbits(np.frombuffer(cells, dtype=np.uint8))[:span]
+                marks[: len(bits)] = bits
+                seen = np.flatnonzero(marks[cell])
                 if not len(seen):
                     continue
                 s = scores[r, seen]
