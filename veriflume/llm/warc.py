@@ -22,6 +22,8 @@ from .common import materialise, need, scratch_path
 INDEX = "file string, offset long, length long, url string, digest string, record_type string"
 #: Gap between records that is read over, and the most that one read asks for (unless one record is longer).
 GAP, WINDOW = 64 << 10, 8 << 20
+#: Bytes of an archive that one task reads.
+STRETCH = 64 << 20
 MIN_REVISIT = 1000
 
 
@@ -160,8 +162,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 out[c] = pd.array([None if x is None else int(x) for x in out[c]], dtype="Int64")
             yield out
 
-    places = index.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / (64 << 20)))
-    placed = places.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    places = index.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / STRETCH))
+    # the index is small however much it stands for, so adaptive execution would have one task read all
+    tasks = max(1, min(20_000, places.select("file", "stretch").distinct().count()))
+    placed = places.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset")
     return placed.mapInPandas(run, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
 
 
