@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflume.llm import langid, packing, simhash, toxicity
+from veriflume.llm import jaccard, langid, packing, toxicity
 from veriflume.llm.common import scratch_path, table
 from veriflume.llm.queries import tokenizer_path
 
@@ -23,8 +23,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints link; the one with the smallest doc_id stays."""
-    return simhash.representatives(docs, width=3, distance=2)
+    """One document of each group whose texts link (5-word shingles, Jaccard 0.8 or more); the smallest doc_id stays."""
+    return jaccard.representatives(docs, width=5, least=0.8)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veriflume.llm import ann, bpe, editfp, langid, lm, packing, sharding, simhash, toxicity, warc
+from veriflume.llm import ann, bpe, editfp, jaccard, langid, lm, packing, sharding, simhash, toxicity, warc
 from veriflume.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -320,6 +320,35 @@ def test_near_classes(spark):
     assert got[5] == got[3] == got[9] == 3 and got[7] == 7 and got[8] == 8
 
 
+def test_near_copies_brute_force(spark, odd, none):
+    """The pipeline's stage against all pairs: edits that simhash misses, graded chains, a line that many texts share."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    line, texts = " ".join(word() for _ in range(15)), []
+    for _ in range(25):
+        base = [word() for _ in range(rng.integers(30, 200))]
+        for _ in range(rng.integers(1, 8)):
+            texts.append(" ".join([*base, line] if rng.random() < 0.4 else base))
+            base = list(base)
+            for _ in range(rng.integers(0, 6)):
+                base[rng.integers(len(base))] = word()
+    texts += ["", " ", "one two", "One two", "one three", line]
+    sets = [set(jaccard.shingle_set(t).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            a, b = sorted((root[i], root[j]))
+            root = [a if r == b else r for r in root]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.near_copies(d).collect()} == dict(enumerate(root))
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, d, SF).collect()} == set(root)
+    kept = jaccard.representatives(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} >= {None, 1, 3, 5, 6, 10}
+    assert jaccard.near_copies(none).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
