@@ -178,6 +178,12 @@ def test_lm_is_a_distribution():
     assert (10 ** (leaf + coder.share)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_byte_contexts_keep_apart():
+    """Contexts of three letters rarely share a row (with 2048 rows 10,000 contexts fill them all)."""
+    words = [bytes([97 + a, 97 + b, 97 + c]) for a in range(26) for b in range(26) for c in range(26)]
+    assert len(np.unique(lm.byte_cells(words)[-1] // 256)) > 4096
+
+
 def test_lm_odd(odd, none):
     got = {r.doc_id: r for r in lm.score_documents(odd, F.col("doc_id") != 5).collect()}
     assert got[3].n_tokens == got[4].n_tokens == got[8].n_tokens == 1 and got[5].held_out is not False
