@@ -178,6 +178,18 @@ def test_lm_is_a_distribution():
     assert (10 ** (leaf + coder.share)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_rare_item_shares_its_leaf():
+    """The formula of the scores sums to one where the item for other words has little mass and shares a leaf."""
+    words = [f"w{i}".encode() for i in range(600)]
+    counts = np.arange(600, 0, -1).astype(np.int64) * 3
+    coder = lm.Coder(words, counts, int(counts.sum()) + 1, 601)
+    assert coder.share[coder.rare] < -0.1
+    rng = np.random.default_rng(2)
+    model = lm.MixModel.from_counts([rng.integers(0, 9, r * lm.LEAVES).astype(np.float32) for r in lm.ROWS] + [np.ones(lm.BYTE_ROWS * 256, np.float32) for _ in lm.BYTE_ORDERS])
+    items = np.concatenate([[5, 17, i] for i in range(601)])
+    assert (10 ** model.item_scores(coder, items, np.full(601, 3))[2::3]).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_lm_byte_contexts_keep_apart():
     """Contexts of three letters rarely share a row (with 2048 rows 10,000 contexts fill them all)."""
     words = [bytes([97 + a, 97 + b, 97 + c]) for a in range(26) for b in range(26) for c in range(26)]
