@@ -166,40 +166,146 @@ def test_lm_base_scores(spark):
         assert r.score < 0
 
 
-def test_lm_is_a_distribution():
-    """Leaves' probabilities sum to one whatever came before."""
-    words = [f"w{i}".encode() for i in range(600)]
-    coder = lm.Coder(words, np.arange(600, 0, -1).astype(np.int64) * 3, 600_000, 700)
-    coder.ids = {w: i for i, w in enumerate(words)}
-    rng = np.random.default_rng(2)
-    model = lm.MixModel.from_counts([rng.integers(0, 9, r * lm.LEAVES).astype(np.float32) for r in lm.ROWS] + [np.ones(lm.BYTE_ROWS * 256, np.float32) for _ in lm.BYTE_ORDERS])
-    items = np.concatenate([[5, 17, i] for i in range(601)])
-    leaf = model.leaf_scores(coder, items, np.full(601, 3))[2::3]
-    assert (10 ** (leaf + coder.share)).sum() == pytest.approx(1, abs=1e-4)
-
-
-def test_lm_rare_item_shares_its_leaf():
-    """The formula of the scores sums to one where the item for other words has little mass and shares a leaf."""
-    words = [f"w{i}".encode() for i in range(600)]
-    counts = np.arange(600, 0, -1).astype(np.int64) * 3
-    coder = lm.Coder(words, counts, int(counts.sum()) + 1, 601)
-    assert coder.share[coder.rare] < -0.1
-    rng = np.random.default_rng(2)
-    model = lm.MixModel.from_counts([rng.integers(0, 9, r * lm.LEAVES).astype(np.float32) for r in lm.ROWS] + [np.ones(lm.BYTE_ROWS * 256, np.float32) for _ in lm.BYTE_ORDERS])
-    items = np.concatenate([[5, 17, i] for i in range(601)])
-    assert (10 ** model.item_scores(coder, items, np.full(601, 3))[2::3]).sum() == pytest.approx(1, abs=1e-4)
+def small_mixer(rng, corpus):
+    """A mixer with counts of a small corpus and weights of no special kind."""
+    seen = Counter(w for t in corpus for w in [*t, b"\n"])
+    cells = [np.zeros(2 << b, dtype=np.float32) for b in lm.TABLE_BITS]
+    words, n = list(seen), np.array(list(seen.values()))
+    lm.add_words(cells, words, n, n >= 2)
+    pairs = np.bincount(np.concatenate([lm.pair_cells(t) for t in corpus]), minlength=lm.PAIR_ROWS * 256).astype(np.float32)
+    m = lm.Mixer(cells, pairs)
+    for layer in m.layers:
+        layer.weights = rng.normal(0.25, 0.1, layer.weights.shape).astype(np.float32)
+        layer.refine = rng.normal(0, 0.1, layer.refine.shape).astype(np.float32)
+    m.first = rng.normal(0.4, 0.1, (2, 3)).astype(np.float32)
+    m.rate = 1e-3
+    return m, seen
+
+
+def lm_corpus(rng, n=60):
+    word = lambda: bytes(rng.choice(list(b"abc"), rng.integers(1, 9)))
+    pool = [word() for _ in range(150)]
+    return [[pool[int(rng.integers(150) * rng.random())] for _ in range(rng.integers(0, 90))] for _ in range(n)]
+
+
+def test_lm_equals_plain_loops():
+    """Token scores, online steps included, against dictionaries keyed by the contexts themselves, bit by bit."""
+    rng = np.random.default_rng(4)
+    corpus = lm_corpus(rng)
+    m, seen = small_mixer(rng, corpus)
+
+    def contexts(spelt, i, bits):
+        return [(k, spelt[max(0, i - k) : i], i >= k, bits) for k in lm.ORDERS] + [("word", spelt[:i], True, bits)]
+
+    bits_of = lambda byte: format(byte, "08b")
+    counts, pairs = Counter(), Counter()
+    for w, n in seen.items():
+        spelt = lm.spelled(w)
+        for i, byte in enumerate(spelt):
+            for j, bit in enumerate(bits_of(byte)):
+                for c in contexts(spelt, i, bits_of(byte)[:j]):
+                    counts[c, bit] += n if c[0] != "word" or n >= 2 else 0
+    for t in corpus:
+        for before, w in zip([None, *t], [*t, b"\n"], strict=True):
+            for j, bit in enumerate(bits_of(w[0])):
+                pairs[lm.pair_row(before) if before else 0, bits_of(w[0])[:j], bit] += 1
+    odds = lambda one, zero: max(-127, min(127, round(math.log((one + 0.4) / (zero + 0.4)) * 16))) / 16
+    texts = [*corpus[:12], [b"zz", b"abcabcabcabc"] * 40]
+    lexicon = lm.Lexicon(m)
+    got = lm.token_scores(lexicon, lexicon.lookup(texts))
+    for t, scores in zip(texts, got, strict=True):
+        own, move, want = np.zeros(3), np.zeros(3), []
+        for k, (before, w) in enumerate(zip([None, *t], [*t, b"\n"], strict=True)):
+            if k % lm.STEP == 0:
+                own, move = own + m.rate * move, np.zeros(3)
+            spelt, total = lm.spelled(w), 0.0
+            for i, byte in enumerate(spelt):
+                for j, bit in enumerate(bits_of(byte)):
+                    cs = contexts(spelt, i, bits_of(byte)[:j])
+                    x = np.array([odds(counts[c, "1"], counts[c, "0"]) for c in cs] + [0.25])
+                    level = int(np.digitize(counts[cs[-1], "1"] + counts[cs[-1], "0"], lm.LEVELS))
+                    z, first = [], i == 0
+                    for layer, gate in zip(m.layers, (level + first * (len(lm.LEVELS) + 1), j + first * 8), strict=True):
+                        v = float(np.clip(x @ layer.weights[gate], -15.9, 15.9))
+                        z.append(v + layer.refine[gate * lm.BUCKETS + int(v * 2 + lm.BUCKETS // 2)])
+                    key = (lm.pair_row(before) if before else 0, bits_of(byte)[:j])
+                    z.append(odds(pairs[(*key, "1")], pairs[(*key, "0")]) if first else 0.0)
+                    s = np.array(z) if bit == "1" else -np.array(z)
+                    margin = float(np.clip((m.first[0 if first else 1] * [1, 1, first] + own * [1, 1, first]) @ s, -17, 17))
+                    total -= math.log10(1 + math.exp(-margin))
+                    move += s / (1 + math.exp(margin))
+            want.append(total)
+        assert len(scores) == len(want) and np.allclose(scores, want, atol=0.03)  # single precision: some odds round otherwise
+        assert np.mean(np.abs(scores - want)) < 6e-3
 
 
-def test_lm_byte_contexts_keep_apart():
-    """Contexts of three letters rarely share a row (with 2048 rows 10,000 contexts fill them all)."""
-    words = [bytes([97 + a, 97 + b, 97 + c]) for a in range(26) for b in range(26) for c in range(26)]
-    assert len(np.unique(lm.byte_cells(words)[-1] // 256)) > 4096
+def test_lm_is_a_distribution():
+    """Whatever came before, the chances of all 256 next bytes sum to one."""
+    rng = np.random.default_rng(2)
+    corpus = lm_corpus(rng)
+    m, _ = small_mixer(rng, corpus)
+    for start in (b"", b"a", b"abcab", b"zzzzzzz"):
+        s = lm.Spelling.of([start + bytes([b]) for b in range(256) if b != 10])  # a newline alone ends a text
+        z = m.margins(s).reshape(2, len(s.length), -1, 8)[:, :, len(start)] / lm.FINE
+        z = np.tensordot(m.first[1][:2] + [0.05, -0.1], z, 1)
+        assert (1 / (1 + np.exp(-z))).prod(axis=1).sum() == pytest.approx(1, abs=0.02)
+
+
+def test_lm_learns_order():
+    """Weights learned on a sample code it better than the first ones."""
+    rng = np.random.default_rng(5)
+    corpus = lm_corpus(rng, 200)
+    m, _ = small_mixer(rng, corpus[:150])
+
+    def cost():
+        lexicon = lm.Lexicon(m)
+        return -sum(s.sum() for s in lm.token_scores(lexicon, lexicon.lookup(corpus[150:])))
+
+    before = cost()
+    lm.learn(m, corpus[150:])
+    assert cost() < 0.95 * before
+
+
+def test_lm_match_model(spark):
+    """Forecasts by the most frequent stretch in the other training texts, against dictionaries."""
+    rng = np.random.default_rng(8)
+    pool = [rng.integers(0, 1 << 62, rng.integers(40, 200)).astype(np.uint64) for _ in range(6)]
+    texts = [np.concatenate([pool[i] for i in rng.integers(0, 6, rng.integers(0, 4))] + [rng.integers(0, 1 << 62, 30).astype(np.uint64)]) for _ in range(40)]
+    texts += [texts[3], texts[3], np.empty(0, np.uint64)]
+    held, cut = [i % 5 == 0 for i in range(len(texts))], [lm.stretches(t) for t in texts]
+    for t, (starts, context, _, _) in zip(texts, cut, strict=True):
+        assert len(starts) == len(context) + 1 and (len(t) <= lm.CONTEXT or starts[1] == lm.CONTEXT)
+    data = [(i, bool(h), c.tolist(), b.tolist(), o.tolist(), [-1.0] * len(c)) for i, (h, (_, c, b, o)) in enumerate(zip(held, cut, strict=True))]
+    scored = spark.createDataFrame(data, "row long, held_out boolean, context array<long>, body array<long>, once array<boolean>, spelled array<double>")
+    got = {(r.row, r.state, r.hit): r.n for r in lm._matched(scored).collect()}
+    want: Counter = Counter()
+    for i, (_, context, body, _) in enumerate(cut):
+        others = Counter(x for j, (_, c, b, _) in enumerate(cut) if not held[j] and j != i for x in set(zip(c.tolist(), b.tolist(), strict=True)))
+        for c, b in zip(context.tolist(), body.tolist(), strict=True):
+            after = sorted((-n, x) for (k, x), n in others.items() if k == c)
+            state = min(-after[0][0], 7) * 8 + min(-after[1][0] if after[1:] else 0, 7) if after else 0
+            want[i, state, bool(after) and after[0][1] == b] += 1
+    assert got == dict(want)
+
+
+def test_lm_scores_copies_apart(spark):
+    """A text that occurs twice costs far fewer bits than one that occurs once; held-out texts beat the base."""
+    d = docs(spark).select("doc_id", "text")
+    words = "' '"
+    once = d.where("length(text) between 600 and 5000").orderBy("doc_id").limit(12).selectExpr("doc_id + 100000 AS doc_id", f"array_join(shuffle(split(text, {words}), 7), {words}) AS text")
+    got = lm.score_documents(d.unionByName(once).unionByName(once.selectExpr("doc_id + 1000", "text")), lm.training_rows(F.col("doc_id"))).toPandas()
+    twice = got[got.doc_id >= 100_000].bits_per_byte
+    assert twice.median() < 0.5 * got[got.doc_id < 100_000].bits_per_byte.median()
 
 
 def test_lm_odd(odd, none):
-    got = {r.doc_id: r for r in lm.score_documents(odd, F.col("doc_id") != 5).collect()}
-    assert got[3].n_tokens == got[4].n_tokens == got[8].n_tokens == 1 and got[5].held_out is not False
+    rows_ = lm.score_documents(odd, F.col("doc_id") != 5).collect()
+    got = {r.doc_id: r for r in rows_}
+    assert len(rows_) == 11 and got[None].held_out and got[5].held_out and not got[1].held_out
+    assert got[3].n_tokens == got[4].n_tokens == got[8].n_tokens == 1
+    assert all(math.isfinite(r.score) and math.isfinite(r.base_score) and r.score < 0 for r in rows_)
     assert lm.score_documents(none, F.col("doc_id") != 5).count() == 0
+    assert lm.score_documents(odd, F.lit(False)).where("held_out and n_known = 0").count() == 11
 
 
 def test_toxicity_held_out(spark):

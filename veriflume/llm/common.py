@@ -63,12 +63,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-class Memo:
-    """Bounded per-worker dictionary in two generations: what is in use survives a turnover."""
+#: Rows of a table of ids that is sent to every task; larger ones are joined by a shuffle.
+SENT_ROWS = 1_000_000
 
-    def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit // 2, {}, {}
 
-    def turn(self) -> None:
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
+def sendable(ids: DataFrame) -> DataFrame:
+    """``ids`` (a table of one or two numbers a row, as written), marked for broadcast if it has few enough rows."""
+    return F.broadcast(ids) if ids.count() <= SENT_ROWS else ids

@@ -1,4 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles: an exact set-similarity join.
+"""Near copies by SimHash ball hashing of word shingles, verified by their Jaccard similarity, and an exact join for
+pairs that lie beyond the balls.
+
+Fingerprints of five-word shingles within two bits meet in balls (see :mod:`.simhash`); whoever meets is verified on the
+whole sets, and the links join copies and slightly edited texts to components. Texts that are 0.8 alike may differ in
+ten bits, which no ball can reach, so an exact set-similarity join goes on from these components.
 
 Of a set of n shingles one that is at least t alike lacks at most n - ceil(t * n). A first pass looks at the shingles in
 one part of the hashes' range, the same for all texts: a text that has more than so many there that no other text has
@@ -17,9 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, need
+from .common import materialise, need, sendable
 from .components import components
-from .simhash import SEED, _first_row
+from .simhash import SEED, fingerprint, rows_named
+from .simhash import links as ball_links
 
 #: Keeps products such as 0.8 * 5 from being rounded up past a whole number.
 EPS = 1e-9
@@ -30,6 +36,10 @@ ROUNDS, FEW = 2, 4
 FIRST_END = np.int64(-(1 << 63) + int(0.35 * 2**64))
 
 
+#: Rows whose shingles a worker holds before it hands them on.
+HELD = 1000
+
+
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes. No words: empty. Fewer than ``width`` words: one shingle."""
     words = (text or "").encode().lower().split()
@@ -70,15 +80,27 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").select("a", "b", similarity("of_a", "of_b").alias("sim"))
 
 
+def near_in_bits(sets: DataFrame, least: float) -> DataFrame:
+    """Verified pairs ``a, b`` of sets whose SimHash fingerprints (``sim``) meet in a ball of two bits."""
+    one = materialise(sets.groupBy("sim").agg(F.min("fp").alias("fp")), "sims")
+    met = ball_links(one.select(F.col("sim").alias("fp")), 2)
+    a, b = one.select(F.col("sim").alias("a"), F.col("fp").alias("x")), one.select(F.col("sim").alias("b"), F.col("fp").alias("y"))
+    apart = met.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = sets.join(one.withColumnRenamed("fp", "a"), "sim").where("a < fp").select("a", F.col("fp").alias("b"))
+    return _verified(apart.unionByName(equal), sets).where(F.col("sim") >= least - EPS).select("a", "b")
+
+
 def links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Verified pairs ``a, b`` that join the same components as all pairs at least ``least`` alike do.
 
-    ``members`` has ``shingle, fp, n``, a row per text and prefix shingle. In each round all at a shingle are compared
+    ``members`` has ``shingle, fp, n``, a row per text and prefix shingle; ``sets`` has ``fp, sim, hashes``. First come
+    the links of :func:`near_in_bits`. In each round all at a shingle are compared
     with one of them that are not yet in its component. When few pairs are left that meet and lie in different
     components, or after ``ROUNDS``, all of these are compared.
     """
-    spark = members.sparkSession
-    good, placed = spark.createDataFrame([], "a long, b long"), members.withColumn("root", F.col("fp"))
+    good = materialise(near_in_bits(sets, least), "ball-links")
+    roots = components(good).withColumnRenamed("node", "fp")
+    placed = materialise(members.join(roots, "fp", "left").select("shingle", "fp", "n", F.coalesce("root", "fp").alias("root")), "placed")
     possible = F.least("n", "n_a") >= least * F.greatest("n", "n_a") - EPS
     total = members.count()
     for i in range(ROUNDS):
@@ -111,8 +133,11 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
 
     def first_pass(batches):
         for pdf in batches:
-            own = [shingle_set(t, width) for t in pdf.text]
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "fp": [set_key(s) for s in own], "most": [own_limit(len(s), least) for s in own], "first": [s[: np.searchsorted(s, FIRST_END)] for s in own]})
+            for at in range(0, len(pdf), HELD):
+                part = pdf.iloc[at : at + HELD]
+                own = [shingle_set(t, width) for t in part.text]
+                first = [s[: np.searchsorted(s, FIRST_END)] for s in own]
+                yield pd.DataFrame({"doc_id": part.doc_id, "fp": [set_key(s) for s in own], "most": [own_limit(len(s), least) for s in own], "first": first})
 
     prints = materialise(docs.select("doc_id", "text").mapInPandas(first_pass, f"doc_id {id_type}, fp string, most long, first array<long>"), "shingle-prints")
     groups = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("most").alias("most"), F.xxhash64("fp").alias("key")), "shingle-groups")
@@ -124,23 +149,29 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
 
     def whole(batches):
         for pdf in batches:
-            own = [shingle_set(t, width) for t in pdf.text]
-            yield pd.DataFrame({"fp": [set_key(s) for s in own], "hashes": [s.tobytes() for s in own]})
+            for at in range(0, len(pdf), HELD):
+                texts = pdf.text.iloc[at : at + HELD]
+                own = [shingle_set(t, width) for t in texts]
+                sims = np.array([fingerprint(t or "", width) for t in texts], dtype=np.uint64).view(np.int64)
+                yield pd.DataFrame({"fp": [set_key(s) for s in own], "sim": sims, "hashes": [s.tobytes() for s in own]})
 
     # one row per set: ids may be null or repeated, so the set itself is what is made distinct
     names = left.select("first_id").distinct()
-    texts = docs.select("doc_id", "text").join(names, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    sets = texts.mapInPandas(whole, "fp string, hashes binary").join(left, "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    texts = docs.select("doc_id", "text").join(sendable(names), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    sets = texts.mapInPandas(whole, "fp string, sim long, hashes binary").join(left, "fp", "left_semi")
+    sets = sets.groupBy("fp").agg(F.min("sim").alias("sim"), F.first("hashes").alias("hashes"))
     named_sets = materialise(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
-    sets = named_sets.select(F.col("row").alias("fp"), "hashes")
+    sets = named_sets.select(F.col("row").alias("fp"), "sim", "hashes")
 
     def exploded(batches):
         for pdf in batches:
-            own = [np.frombuffer(h, dtype=np.int64) for h in pdf.hashes]
-            size = [len(h) for h in own]
-            yield pd.DataFrame({"fp": np.repeat(pdf.fp.to_numpy(), size), "n": np.repeat(size, size), "shingle": np.concatenate(own) if own else []}).astype("int64")
+            for at in range(0, len(pdf), HELD):
+                part = pdf.iloc[at : at + HELD]
+                own = [np.frombuffer(h, dtype=np.int64) for h in part.hashes]
+                size = [len(h) for h in own]
+                yield pd.DataFrame({"fp": np.repeat(part.fp.to_numpy(), size), "n": np.repeat(size, size), "shingle": np.concatenate(own)}).astype("int64")
 
-    each = sets.mapInPandas(exploded, "fp long, n long, shingle long")
+    each = sets.select("fp", "hashes").mapInPandas(exploded, "fp long, n long, shingle long")
     had = each.groupBy("shingle").agg(F.count("*").alias("had")).where("had > 1")
     # of n shingles the n - m that no other text has come first; the others by how many have them
     ranked = each.join(had, "shingle").groupBy("fp", "n").agg(F.sort_array(F.collect_list(F.struct("had", "shingle"))).alias("own"))
@@ -160,6 +191,4 @@ def representatives(docs: DataFrame, width: int = 5, least: float = 0.8) -> Data
 
     Rows with a null id are kept. Of rows that repeat the same id, one stays: that with the smallest text.
     """
-    named = near_copies(docs, width, least).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(named, "doc_id", "left_semi")
-    return _first_row(kept).unionByName(docs.where("doc_id is null"))
+    return rows_named(docs, near_copies(docs, width, least))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, need
+from .common import materialise, need, sendable
 from .components import components
 
 SEED = 42
@@ -108,19 +108,24 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, id_col:
 def representatives(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component: one document of each group of near-copies.
 
-    Rows with a null id are kept (nothing identifies them). Of rows that repeat the same id, one stays: that with the
-    smallest text.
+    Rows with a null id are kept (nothing identifies them). Of rows that repeat the same id, one stays: see
+    :func:`rows_named`.
     """
-    classes = near_duplicates(docs, width, distance).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(classes, "doc_id", "left_semi")
-    return _first_row(kept).unionByName(docs.where("doc_id is null"))
-
-
-def _first_row(rows: DataFrame) -> DataFrame:
-    """One row per doc_id; only ids that do repeat are sorted."""
-    repeated = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = rows.join(repeated, "doc_id", "left_anti")
-    again = rows.join(repeated, "doc_id", "left_semi")
-    columns = again.columns
-    best = again.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.coalesce("text", F.lit(""))).alias("row"))
-    return single.select(*columns).unionByName(best.select("row.*"))
+    return rows_named(docs, near_duplicates(docs, width, distance))
+
+
+def rows_named(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component of ``classes`` (doc_id, component_id), and all with a null id.
+
+    Of rows that repeat an id that of the smallest text stays, then of the smallest rest. Texts move only to ids that
+    are too many to send to every task, and then once.
+    """
+    ids = materialise(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
+    kept = docs.join(sendable(ids.where("n = 1").select("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+    again = materialise(ids.where("n > 1").select("doc_id"), "repeated")
+    if again.limit(1).count():
+        columns = docs.columns
+        rows = docs.join(sendable(again), "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "doc_id", "text")
+        order = F.struct(F.coalesce("text", F.lit("")), F.to_json("row"))
+        kept = kept.unionByName(rows.groupBy("doc_id").agg(F.min_by("row", order).alias("row")).select("row.*"))
+    return kept.unionByName(docs.where("doc_id is null"))
