@@ -121,12 +121,20 @@ def resolve_names(rows: DataFrame, files: DataFrame, min_score: float = 0.0) ->
 
     ``rows``: key, group_id, file_name_raw; ``files``: group_id, path. An equal base name (but for case) wins; else
     shared words of the stems, 0.5 more if the whole name lies in the file's, 0.25 if the stem does. Ties go to the
-    first path. The join is on the group and on a shared word or part; a group's files are few.
+    first path. Rows meet the files of their group that share a word, the start of the squashed stem, or the name: any
+    file that scores at all is among them.
     """
     raw = strip(F.coalesce("file_name_raw", F.lit("")))
     named = rows.withColumn("_raw", basename(raw)).where((raw != "") & ~raw.rlike(URL))
-    kept = files.where(suffix(F.col("path")).isin(*RESOLVABLE))
-    both = named.select("key", "group_id", "_raw").join(kept, "group_id")
+    kept = files.where(suffix(F.col("path")).isin(*RESOLVABLE)).select("group_id", "path").distinct()
+    file_name = basename(F.col("path"))
+    start = F.coalesce(F.nullif(_squashed(stem(F.col("_raw"))), F.lit("")), _squashed(F.col("_raw")))
+    of_row = F.array_union(F.array(F.concat(F.lit("="), F.lower("_raw")), F.concat(F.lit("~"), F.substring(start, 1, 3))), name_tokens(stem(F.col("_raw"))))
+    flat = _squashed(file_name)
+    grams = [F.transform(F.when(F.length(flat) >= n, F.sequence(F.lit(1), F.length(flat) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i, n=n: F.concat(F.lit("~"), F.substr(flat, i, F.lit(n)))) for n in (1, 2, 3)]
+    of_file = F.array_union(F.array_union(F.array(F.concat(F.lit("="), F.lower(file_name))), name_tokens(stem(file_name))), F.concat(*grams))
+    asked = named.select("key", "group_id", "_raw", F.explode(F.array_distinct(of_row)).alias("_by"))
+    both = asked.join(kept.select("group_id", "path", F.explode(F.array_distinct(of_file)).alias("_by")), ["group_id", "_by"]).drop("_by").distinct()
     name = basename(F.col("path"))
     wanted = name_tokens(stem(F.col("_raw")))
     shared = F.size(F.array_intersect(wanted, name_tokens(stem(name)))) / F.greatest(F.lit(1), F.size(wanted))

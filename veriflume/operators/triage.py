@@ -53,7 +53,7 @@ def candidates(pairs: DataFrame, texts: DataFrame, cfg: TriageConfig = TriageCon
     cited = texts.join(rows.select(F.col("source_sha256").alias("sha")).distinct(), "sha", "left_semi")
     units = doc_windows(cited, cfg)
     queries = rows.select("query_id", F.col("source_sha256").alias("sha"), bm25_tokens(F.col("query_text")).alias("tokens"))
-    hits = retrieve.ranked(retrieve.bm25_all(units, queries), cfg.bm25_topk).join(units.select("sha", "unit_idx", "window"), ["sha", "unit_idx"])
+    hits = retrieve.bm25_top(units, queries, cfg.bm25_topk, digits=9).join(units.select("sha", "unit_idx", "window"), ["sha", "unit_idx"])
     hits = hits.join(rows.select("query_id", "query_text"), "query_id")
     score = cosine if cosine is not None else token_cosine(bm25_tokens(F.col("query_text")), bm25_tokens(F.col("window")))
     top = retrieve.reranked(hits.withColumn("embed_cosine", score), "embed_cosine", cfg.embed_rerank_topk).where(F.col("embed_cosine") >= cfg.min_embed_cosine)

@@ -58,7 +58,8 @@ def verify_quotes(quotes: DataFrame, texts: DataFrame, cfg: VerifyConfig = Verif
     live = asked.where(~F.col("intent").isin("empty", "non_verifiable_trivial")).join(texts.where(F.size("sents") > 0).select("sha"), "sha", "left_semi")
     used = texts.join(live.select("sha").distinct(), "sha", "left_semi")  # sources nobody asks for are not indexed
     units = used.select("sha", F.posexplode("sents").alias("unit_idx", "sent")).select("sha", "unit_idx", word_tokens(F.col("sent")).alias("tokens"))
-    hits = retrieve.ranked(retrieve.bm25_all(units, live.select("query_id", "sha", word_tokens(F.col("q")).alias("tokens"))), cfg.bm25_topk)
+    asked_tokens = live.select("query_id", "sha", word_tokens(F.col("q")).alias("tokens"))
+    hits = retrieve.bm25_top(units, asked_tokens, cfg.bm25_topk, digits=9)
     hits = hits.join(live.select("query_id", "q", sentence_count(F.col("q")).alias("q_sentences")), "query_id")
     cands = retrieve.spans(hits, used, cfg.max_window).join(live.select("query_id", "q"), "query_id")
     score = cosine if cosine is not None else token_cosine(word_tokens(F.col("q")), word_tokens(F.col("candidate")))
@@ -75,7 +76,7 @@ def verify_quotes(quotes: DataFrame, texts: DataFrame, cfg: VerifyConfig = Verif
     early = F.when(F.col("intent") == "empty", say("empty", "empty_quote_from_source", "empty quote_from_source"))
     early = early.when(F.col("intent") == "non_verifiable_trivial", say("non_verifiable", "trivial_or_non_verifiable", "non-verifiable (generic: figure/table/N.A.)"))
     early = early.when(no_text, say("no_text_index", "no_sentences_in_source", "no sentences in source"))
-    early = early.when(F.col("candidate").isNull(), say("no_candidates", "no_valid_candidates_from_bm25", "no valid candidates from BM25"))
+    early = early.when(F.col("candidate").isNull(), say("no_candidates", "no_valid_candidates_after_windowing", "no valid candidates after windowing"))
     out = out.withColumn("early", early)
     return out.select(
         "query_id", "sha", "q", "intent", F.coalesce("hit", F.lit(False)).alias("hit"),
@@ -120,14 +121,33 @@ def group_report(evidence: DataFrame, cfg: VerifyConfig = VerifyConfig()) -> Dat
 def exact_tier(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     """Quotes found word for word: ``quote_id, sha, sent_idx, sentence``.
 
-    Quote and sentence meet on the quote's rarest token (by number of sentences that have it), never as a nested loop.
-    ``docs``: sha, sents; ``quotes``: quote_id, q (in match form).
+    Quote and sentence meet on a key that any sentence with the quote must have, never as a nested loop: the rarest of
+    the quote's whole tokens (the runs at its ends may be parts of longer ones), or, where it has none, its rarest pair
+    of characters (its only character, if it is one). Only ids and keys move before the match; the text comes then.
+    ``docs``: sha, sents; ``quotes``: quote_id, q (in match form; empty ones are found nowhere).
     """
     sents = docs.select("sha", F.posexplode("sents").alias("sent_idx", "sentence")).withColumn("form", match_form(F.col("sentence")))
-    terms = sents.select("sha", "sent_idx", "form", "sentence", F.explode(F.array_distinct(bm25_tokens(F.col("form")))).alias("term"))
-    wanted = quotes.select("quote_id", "q", F.explode(F.array_distinct(bm25_tokens(F.col("q")))).alias("term"))
-    common = terms.join(wanted.select("term").distinct(), "term", "left_semi")
-    df = common.groupBy("term").agg(F.count("*").alias("df"))
-    rare = wanted.join(df, "term", "left").groupBy("quote_id", "q").agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term"))
-    return rare.join(terms, "term").where(F.contains("form", F.col("q"))).select("quote_id", "sha", "sent_idx", "sentence")
-
+    inner = bm25_tokens(F.regexp_replace(F.lower("q"), "^[a-z0-9]+|[a-z0-9]+$", ""))
+    asked = quotes.where("q <> ''").select("quote_id", "q", inner.alias("inner"))
+    whole = asked.where(F.size("inner") > 0)
+    parts = asked.where(F.size("inner") == 0).withColumn("g", F.least(F.lit(2), F.length("q")))
+    tiers = [
+        (whole.select("quote_id", "q", F.explode(F.array_distinct("inner")).alias("key")), F.array_distinct(bm25_tokens(F.col("form")))),
+        (parts.where("g = 2").select("quote_id", "q", F.explode(_grams(F.col("q"), 2)).alias("key")), _grams(F.col("form"), 2)),
+        (parts.where("g = 1").select("quote_id", "q", F.col("q").alias("key")), _grams(F.col("form"), 1)),
+    ]
+    found = None
+    for wanted, keys in tiers:
+        rows = sents.select("sha", "sent_idx", F.explode(keys).alias("key"))
+        df = rows.join(wanted.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count("*").alias("df"))
+        rare = wanted.join(df, "key", "left").groupBy("quote_id", "q").agg(F.min_by("key", F.struct(F.coalesce("df", F.lit(0)), "key")).alias("key"))
+        met = rare.join(rows, "key").select("quote_id", "q", "sha", "sent_idx")
+        found = met if found is None else found.unionByName(met)
+    return found.join(sents, ["sha", "sent_idx"]).where(F.contains("form", F.col("q"))).select("quote_id", "sha", "sent_idx", "sentence")
+
+
+def _grams(c: Column, n: int) -> Column:
+    """Distinct stretches of ``n`` characters."""
+    last = F.length(c) - n + 1
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(n))))
