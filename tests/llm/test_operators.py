@@ -56,10 +56,58 @@ def test_language_held_out(spark):
     assert got.where("score < 0 or score > 1").count() == 0
 
 
+def test_language_rejects_junk(spark):
+    """Foreign script, random letters and text without letters are rejected; of clean documents nearly none is."""
+    base = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit_documents(base)
+    rng = np.random.default_rng(1)
+    clean = base.where("doc_id % 10 = 3")
+    texts = [r.text for r in clean.where("n_chars > 60").limit(150).collect()]
+    foreign = ["".join(chr(0x430 + ord(c) * 7 % 32) if c.isalpha() else c for c in t) for t in texts]
+    mashed = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), len(t))) for t in texts]
+    junk = spark.createDataFrame([(t,) for t in [*foreign, *mashed, "12 34 !!", ""]], "text string")
+    judge = lambda d: (lambda out, name: out.agg(F.avg(F.col(f"{name}.rejected").cast("int"))).first()[0])(*langid.with_language(d, model))
+    assert judge(junk) >= 0.95 and judge(clean) <= 0.01
+
+
+def test_language_forward_pass():
+    """Scores against a plain sum over n-grams, one after the other."""
+    rng = np.random.default_rng(3)
+    size = 1 << langid.BUCKET_BITS
+    m = langid.LanguageModel(["a", "b", "c"], rng.normal(size=(size, 3)), rng.normal(size=3), 0.7)
+    for text in ("été à Noël, 12 mots", "a", "Ab cd" * 9, "x" * 50):
+        codes = [0]
+        for c in text.lower():
+            if c.isalpha() or codes[-1]:
+                codes.append(ord(c) if c.isalpha() else 0)
+        codes += [0] * (codes[-1] != 0)
+        buckets = []
+        for n in langid.ORDERS:
+            for i in range(len(codes) - n + 1):
+                gram = codes[i : i + n]
+                if (n == 1 and not gram[0]) or 0 in gram[1:-1]:
+                    continue
+                h = 0
+                for g in gram:
+                    h = (h * 0x100000001B3 + g + 1) % (1 << 64)
+                buckets.append((h ^ n) * 0x9E3779B97F4A7C15 % (1 << 64) >> (64 - langid.BUCKET_BITS))
+        z = (m.table[buckets].mean(axis=0) + m.bias) / m.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert m.predict(text) == (m.langs[int(p.argmax())], pytest.approx(float(p.max())))
+
+
+def test_language_one_text_in_many_rows(spark):
+    """Copies of one text neither crowd out the others nor reach the driver."""
+    rows_ = [(i, "alpha beta gamma " + "xyz"[i % 3] * (i % 50 + 1), "en") for i in range(200)] + [(1000 + i, "un deux trois", "fr") for i in range(400)]
+    d = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    assert len(langid._sample(d.select("lang", "text", F.xxhash64("text").alias("rank")), 600)) == d.select("text").distinct().count()
+
+
 def test_language_odd(odd, none):
-    got = {r.doc_id: r for r in langid.identify(odd).collect()}
-    assert got[3].lang_pred == got[4].lang_pred == got[8].lang_pred == "und" and got[3].score == 0
-    assert got[7].lang_pred == "en" and langid.identify(none).count() == 0
+    rows_ = langid.identify(odd).collect()
+    got = {r.doc_id: r for r in rows_}
+    assert len(rows_) == 11 and got[3].lang_pred == got[4].lang_pred == got[8].lang_pred == "und" and got[3].score == 0 and got[3].rejected
+    assert got[7].lang_pred == "en" and not got[7].rejected and langid.identify(none).count() == 0
 
 
 def brute_components(fps, distance):
@@ -109,20 +157,47 @@ def test_simhash_odd(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_ann_recall(spark):
-    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    got = ann.nearest(e, F.col("vec_id") % 20 == 0, visit_share=0.5).toPandas()
-    x = e.toPandas()
-    v, ids = np.stack([np.asarray(a, dtype=float) for a in x.embedding]), x.vec_id.to_numpy()
-    recall = []
-    for i in np.flatnonzero(ids % 20 == 0):
-        s = (v * v[i]).sum(axis=1)
-        s[i] = -np.inf
-        want = ids[np.lexsort((ids, -s))[:20]]
-        mine = got[got.query_id == ids[i]].sort_values("rank")
-        assert mine["rank"].tolist() == list(range(1, 21)) and ids[i] not in mine.vec_id.tolist()
-        recall.append(len(set(want) & set(mine.vec_id)) / 20)
-    assert np.mean(recall) >= 0.9
+def recall(found, ids, v, is_query, k):
+    out = []
+    for i in np.flatnonzero(is_query):
+        score = (v * v[i]).sum(axis=1)
+        score[i] = -np.inf
+        want = ids[np.lexsort((ids, -score))[:k]]
+        mine = found[found.query_id == ids[i]].sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, k + 1)) and ids[i] not in mine.vec_id.tolist()
+        assert np.allclose(mine.score, [(v[np.flatnonzero(ids == x)[0]] * v[i]).sum() for x in mine.vec_id])
+        out.append(len(set(want) & set(mine.vec_id)) / k)
+    return np.mean(out)
+
+
+@pytest.mark.parametrize("kind", ["table", "isotropic", "clustered"])
+def test_ann_recall(spark, monkeypatch, kind):
+    """Default settings against brute force, with visits that leave entries out."""
+    rng = np.random.default_rng(6)
+    if kind == "table":
+        e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+        x = e.toPandas()
+        v, ids = np.stack([np.asarray(a, dtype=float) for a in x.embedding]), x.vec_id.to_numpy()
+    else:
+        v = rng.normal(size=(4000, 12))
+        if kind == "clustered":
+            v = 0.2 * v + rng.normal(size=(40, 12))[np.arange(4000) % 40]
+        ids = np.arange(4000)
+        e = spark.createDataFrame([(i, a) for i, a in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    visits, measured = [], ann.measured_visit
+    monkeypatch.setattr(ann, "measured_visit", lambda *a: visits.append(measured(*a)) or visits[-1])
+    found = ann.nearest(e, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    assert recall(found, ids, v, ids % 20 == 0, 20) >= 0.9
+    assert 20 < visits[0] < (0.3 if kind == "clustered" else 0.9) * len(ids)
+
+
+def test_ann_mixed_lengths(spark):
+    """Vectors of each length are searched among themselves."""
+    data = [(i, [float(i % 7 + 1), 1.0 * i]) for i in range(30)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(6)]
+    e = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = ann.nearest(e, F.col("vec_id") % 20 == 0, k=3).toPandas()
+    assert got[got.query_id == 100].vec_id.tolist() == [101, 102, 103]  # ties
+    assert got[got.query_id == 20].vec_id.tolist() == [29, 27, 28]
 
 
 def test_ann_measured_visit(spark):
@@ -317,6 +392,34 @@ def test_toxicity_held_out(spark):
     assert (said == (got.y == 1)).mean() >= 0.95 and (said & (got.y == 0)).sum() <= 0.005 * (got.y == 0).sum()
 
 
+def test_toxicity_chain_forward_pass():
+    """A prediction is the logistic of the words' weights and of the chances before it."""
+    texts = [f"word{i % 7} word{i % 11} {'scum' if i % 5 == 0 else 'fine'} {'poor' if i % 3 == 0 else 'good'}" for i in range(240)]
+    labels = np.array([[i % 3 == 0, i % 5 == 0] for i in range(240)], dtype=int)
+    m = toxicity.fit_chain([toxicity.words(t) for t in texts], labels, ["low", "toxic"])
+    for t in texts[:20] + ["", "nothing known"]:
+        present, before = set(toxicity.words(t).tolist()), []
+        for link in m.links:
+            z = link.bias + sum(w for f, w in zip(link.features.tolist(), link.weights, strict=True) if f in present) + float(np.dot(link.earlier, before))
+            before.append(1 / (1 + math.exp(-z)))
+        assert m.predict(t) == pytest.approx(before)
+    assert m.predict("scum")[1] > m.thresholds[1] > m.predict("fine")[1]
+
+
+def test_toxicity_contradicting_labels(spark):
+    """Of labels that contradict each other, and of equal texts', the worse ones count; copies are one text."""
+    d = spark.createDataFrame([(i, "scum here" if i % 2 else f"fine words {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(i, 0, 1) for i in range(1, 60, 2)], "doc_id long, quality int, toxic int")
+    seen = {}
+    keep = toxicity.fit_chain
+    toxicity.fit_chain = lambda rows, y, c: seen.update(y=y) or keep(rows, y, c)
+    try:
+        toxicity.fit_from_labels(d, labels)
+    finally:
+        toxicity.fit_chain = keep
+    assert len(seen["y"]) == 31 and seen["y"].sum(axis=0).tolist() == [1, 1]
+
+
 def test_toxicity_odd(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (5, 0, 1), (6, None, 1), (99, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.classify(odd, labels).count() == 11

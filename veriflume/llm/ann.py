@@ -12,6 +12,7 @@ Equal vectors are one entry that carries its smallest ids: beyond ``k + 1`` of t
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,14 +23,14 @@ from .common import materialise, need
 
 #: Vectors that the quantisers are fitted on, at most; centroids per half, at most.
 SAMPLE, MAX_CENTROIDS = 20_000, 256
-#: Recall that visits aim at, the queries it is measured on, and the fewest entries of a visit.
-AIM, PROBES, VISIT_MIN = 0.95, 128, 2000
+#: Recall that visits aim at, and the queries it is measured on.
+AIM, PROBES = 0.95, 128
 #: Entries of one block and queries of one block that meet in a task; queries whose visits one task plans.
 ENTRY_BLOCK, QUERY_BLOCK, PLAN_BLOCK = 16_384, 8192, 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, embedding array<double>`` of distinct rows whose vector is not null, empty, zero or non-finite anywhere."""
+    """``vec_id, embedding array<double>`` of rows whose vector is not null, empty, zero or non-finite anywhere."""
     need(vectors, "vec_id", "embedding")
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -119,18 +120,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, visit_share: floa
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query row, by largest inner product.
 
     Ties go to the smaller vec_id. Vectors that are null, zero or hold null or non-finite values take no part, nor do
-    rows without an id or of another length than most. Rows that repeat id and vector count once. With fewer candidates
-    than k all are returned (the visit then covers every cell). ``visit_share`` fixes the share of all entries that a
-    visit holds; by default it is measured.
+    rows without an id. Rows that repeat id and vector count once. With fewer candidates than k all are returned (the
+    visit then covers every cell). Vectors of another length have no inner product with a query, so each length is
+    searched by itself. ``visit_share`` fixes the share of all entries that a visit holds; by default it is measured.
     """
-    spark = vectors.sparkSession
     rows = materialise(usable(vectors), "vectors")
-    dims = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if dims is None:
-        return spark.createDataFrame([], schema)
-    dim = dims["n"]
-    rows = rows.where(F.size("embedding") == dim)
+    found = [_nearest_of(rows.where(F.size("embedding") == r["n"]), is_query, k, visit_share, r["n"]) for r in rows.groupBy(F.size("embedding").alias("n")).count().collect()]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of(rows: DataFrame, is_query: Column, k: int, visit_share: float | None, dim: int) -> DataFrame:
+    spark = rows.sparkSession
     by_vector = Window.partitionBy("embedding").orderBy("vec_id")
     few = rows.withColumn("place", F.dense_rank().over(by_vector)).where(F.col("place") <= k + 1)
     entries = materialise(few.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")), "entries")
@@ -170,7 +172,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, visit_share: floa
             held += counts[c]
     queries = rows.where(is_query).select("vec_id", "embedding")
     wanted = measured_visit(celled, queries, halves, counts, k) if visit_share is None else visit_share * n
-    want = int(min(n, max(wanted, VISIT_MIN, k + 2)))
+    want = int(min(n, max(wanted, k + 2)))
     first_cell = np.searchsorted(group_of, group_of, "left")  # of the group that a cell lies in
     plan = spark.sparkContext.broadcast((counts, group_of, blocks_of, first_cell))
 

@@ -2,8 +2,8 @@
 
 A text is the mean of the embeddings of its hashed character n-grams (runs of other characters than letters count as
 one boundary). The classifier is fitted on the driver from a bounded sample of labelled rows, whose texts arrive as
-bounded sparse count vectors; the softmax is calibrated by a temperature on rows that training left out, and a
-rejection threshold is set there.
+bounded sparse count vectors; the softmax is calibrated by a temperature on rows that training left out, and there the
+score is read off under which a set share of rightly named texts lies: what scores less is rejected.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, free_name, need
@@ -102,7 +102,10 @@ class LanguageModel:
 
 
 def _sample(labelled: DataFrame, rows: int) -> pd.DataFrame:
-    """At most ``rows`` rows by hash of text, each language getting an equal share first; count vectors only."""
+    """At most ``rows`` distinct texts by hash, each language an equal share of them; count vectors only.
+
+    Copies fall together and the bound is set before anything is collected, so a text that many rows repeat is one.
+    """
     n = labelled.groupBy("lang").count().collect()
     share = max(1, rows // max(1, len(n)))
     keep = F.lit(False)
@@ -115,9 +118,10 @@ def _sample(labelled: DataFrame, rows: int) -> pd.DataFrame:
             got = [counts(t) for t in pdf.text]
             yield pd.DataFrame({"lang": pdf.lang, "rank": pdf["rank"], "idx": [g[0].astype(np.int32).tobytes() for g in got], "n": [g[1].astype(np.float32).tobytes() for g in got]})
 
-    pdf = labelled.where(keep).mapInPandas(run, "lang string, rank long, idx binary, n binary").toPandas()
-    pdf = pdf[np.array([len(x) > 0 for x in pdf.idx], dtype=bool)].sort_values(["lang", "rank"], kind="stable")
-    return pdf.groupby("lang").head(share)
+    found = labelled.where(keep).mapInPandas(run, "lang string, rank long, idx binary, n binary").where("length(idx) > 0")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
+    few = found.dropDuplicates(["lang", "rank"]).withColumn("place", place).where(F.col("place") <= share).drop("place")
+    return few.toPandas().sort_values(["lang", "rank"], kind="stable")
 
 
 def _matrix(pdf: pd.DataFrame) -> np.ndarray:
@@ -128,11 +132,12 @@ def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return x
 
 
-def fit(labelled: DataFrame, calibration: DataFrame, dim: int = 16, epochs: int = 12, seed: int = 7, keep_share: float = 0.999) -> LanguageModel:
+def fit(labelled: DataFrame, calibration: DataFrame, dim: int = 16, epochs: int = 12, seed: int = 7, keep_share: float = 0.998) -> LanguageModel:
     """Train on ``text, lang, rank`` rows (rank: any hash) and calibrate on others.
 
-    reject_below is half the score under which ``1 - keep_share`` of the rightly named calibration rows lie, at most
-    0.5: a clean document is kept, one that looks like no learned language goes.
+    reject_below is the score under which ``1 - keep_share`` of the rightly named calibration texts lie: so many clean
+    documents go, and whatever looks less like a learned language than they do. Where these texts are too few to tell,
+    it is half of their least score.
     """
     train, held = _sample(labelled, TRAIN_ROWS), _sample(calibration, CALIBRATION_ROWS)
     langs = sorted(set(train.lang))
@@ -166,11 +171,12 @@ def fit(labelled: DataFrame, calibration: DataFrame, dim: int = 16, epochs: int
             model.temperature = temperature
             return float(-np.log(model.probabilities(z)[np.arange(len(t)), t] + 1e-12).mean())
 
-        model.temperature = min(np.geomspace(0.25, 8, 41), key=loss)
+        model.temperature = min(np.geomspace(0.1, 8, 51), key=loss)
         p = model.probabilities(z)
         right = p.max(axis=1)[p.argmax(axis=1) == t]
         if len(right):
-            model.reject_below = float(min(0.5, 0.5 * np.quantile(right, 1 - keep_share)))
+            enough = len(right) * (1 - keep_share) >= 1
+            model.reject_below = float(np.quantile(right, 1 - keep_share) if enough else right.min() / 2)
     return model
 
 

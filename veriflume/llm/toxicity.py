@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import free_name, need
 
-#: Bound of the labelled sample, of the words one text sends for training, and of the features of a model.
-SAMPLE_ROWS, WORDS_PER_ROW, FEATURES = 8000, 20_000, 4096
+#: Bound of the labelled sample, and of the features of a model.
+SAMPLE_ROWS, FEATURES = 8000, 4096
 MIN_ROWS, FOLDS = 4, 4
 _BASE = 0x9E3779B97F4A7C15 | 1
 BLOCK = 1 << 20
@@ -173,7 +173,8 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str])
 def fit(labelled: DataFrame, categories: list[str]) -> ChainModel:
     """Fit on rows with ``text`` and one 0/1 column per category; rows without one of them are left out.
 
-    At most SAMPLE_ROWS rows are used, by hash of the text; equal texts count once for each row.
+    At most SAMPLE_ROWS distinct texts are used, by hash; of equal texts with several labels the larger ones count. The
+    bound is set before anything is collected.
     """
     need(labelled, "text", *categories)
     rows = labelled.where(F.col("text").isNotNull())
@@ -186,11 +187,12 @@ def fit(labelled: DataFrame, categories: list[str]) -> ChainModel:
 
     def run(batches):
         for pdf in batches:
-            got = [words(t) for t in pdf.text]
-            got = [np.sort(g[np.argsort(g * np.uint64(_BASE), kind="stable")[:WORDS_PER_ROW]]) for g in got]  # an even choice beyond the bound
-            yield pd.DataFrame({"rank": pdf["rank"], "y": pdf.y, "words": [g.tobytes() for g in got]})
+            yield pd.DataFrame({"rank": pdf["rank"], "y": pdf.y, "words": [words(t).tobytes() for t in pdf.text]})
 
-    pdf = rows.mapInPandas(run, "rank long, y array<int>, words binary").toPandas().sort_values("rank", kind="stable").head(SAMPLE_ROWS)
+    found = rows.mapInPandas(run, "rank long, y array<int>, words binary")
+    worst = F.array(*[F.max(F.col("y")[i]) for i in range(len(categories))]).alias("y")
+    found = found.groupBy("rank").agg(worst, F.first("words").alias("words"))
+    pdf = found.orderBy("rank").limit(SAMPLE_ROWS).toPandas()
     sets = [np.frombuffer(w, dtype=np.uint64) for w in pdf.words]
     labels = np.array([list(y) for y in pdf.y]).reshape(len(pdf), len(categories))
     return fit_chain(sets, labels, categories)
@@ -216,8 +218,11 @@ def with_toxicity(docs: DataFrame, model: ChainModel, text_col: str = "text") ->
 
 
 def fit_from_labels(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("low_quality", "toxic")) -> ChainModel:
-    """Fit from a labels table ``doc_id, quality, toxic``: the chain predicts low quality first, then toxicity."""
-    y = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic").dropDuplicates(["doc_id"])
+    """Fit from a labels table ``doc_id, quality, toxic``: the chain predicts low quality first, then toxicity.
+
+    Of labels that contradict each other the worse ones count.
+    """
+    y = labels.groupBy("doc_id").agg((1 - F.min("quality")).alias("low_quality"), F.max("toxic").alias("toxic"))
     return fit(docs.select("doc_id", "text").join(y, "doc_id"), list(categories))
 
 
