@@ -247,12 +247,11 @@ def small_mixer(rng, corpus):
     cells = [np.zeros(2 << b, dtype=np.float32) for b in lm.TABLE_BITS]
     words, n = list(seen), np.array(list(seen.values()))
     lm.add_words(cells, words, n, n >= 2)
-    pairs = np.bincount(np.concatenate([lm.pair_cells(t) for t in corpus]), minlength=lm.PAIR_ROWS * 256).astype(np.float32)
-    m = lm.Mixer(cells, pairs)
+    m = lm.Mixer(cells)
     for layer in m.layers:
         layer.weights = rng.normal(0.25, 0.1, layer.weights.shape).astype(np.float32)
-        layer.refine = rng.normal(0, 0.1, layer.refine.shape).astype(np.float32)
-    m.first = rng.normal(0.4, 0.1, (2, 3)).astype(np.float32)
+        layer.refine = rng.normal(0, 0.02, layer.refine.shape).astype(np.float32)
+    m.first = rng.normal(0.4, 0.1, 2).astype(np.float32)
     m.rate = 1e-3
     return m, seen
 
@@ -273,26 +272,22 @@ def test_lm_equals_plain_loops():
         return [(k, spelt[max(0, i - k) : i], i >= k, bits) for k in lm.ORDERS] + [("word", spelt[:i], True, bits)]
 
     bits_of = lambda byte: format(byte, "08b")
-    counts, pairs = Counter(), Counter()
+    counts: Counter = Counter()
     for w, n in seen.items():
         spelt = lm.spelled(w)
         for i, byte in enumerate(spelt):
             for j, bit in enumerate(bits_of(byte)):
                 for c in contexts(spelt, i, bits_of(byte)[:j]):
                     counts[c, bit] += n if c[0] != "word" or n >= 2 else 0
-    for t in corpus:
-        for before, w in zip([None, *t], [*t, b"\n"], strict=True):
-            for j, bit in enumerate(bits_of(w[0])):
-                pairs[lm.pair_row(before) if before else 0, bits_of(w[0])[:j], bit] += 1
     odds = lambda one, zero: max(-127, min(127, round(math.log((one + 0.4) / (zero + 0.4)) * 16))) / 16
     texts = [*corpus[:12], [b"zz", b"abcabcabcabc"] * 40]
     lexicon = lm.Lexicon(m)
     got = lm.token_scores(lexicon, lexicon.lookup(texts))
     for t, scores in zip(texts, got, strict=True):
-        own, move, want = np.zeros(3), np.zeros(3), []
-        for k, (before, w) in enumerate(zip([None, *t], [*t, b"\n"], strict=True)):
+        own, move, want = np.zeros(2), np.zeros(2), []
+        for k, w in enumerate([*t, b"\n"]):
             if k % lm.STEP == 0:
-                own, move = own + m.rate * move, np.zeros(3)
+                own, move = own + m.rate * move, np.zeros(2)
             spelt, total = lm.spelled(w), 0.0
             for i, byte in enumerate(spelt):
                 for j, bit in enumerate(bits_of(byte)):
@@ -303,14 +298,12 @@ def test_lm_equals_plain_loops():
                     for layer, gate in zip(m.layers, (level + first * (len(lm.LEVELS) + 1), j + first * 8), strict=True):
                         v = float(np.clip(x @ layer.weights[gate], -15.9, 15.9))
                         z.append(v + layer.refine[gate * lm.BUCKETS + int(v * 2 + lm.BUCKETS // 2)])
-                    key = (lm.pair_row(before) if before else 0, bits_of(byte)[:j])
-                    z.append(odds(pairs[(*key, "1")], pairs[(*key, "0")]) if first else 0.0)
                     s = np.array(z) if bit == "1" else -np.array(z)
-                    margin = float(np.clip((m.first[0 if first else 1] * [1, 1, first] + own * [1, 1, first]) @ s, -17, 17))
+                    margin = float(np.clip((m.first + own) @ s, -17, 17))
                     total -= math.log10(1 + math.exp(-margin))
                     move += s / (1 + math.exp(margin))
             want.append(total)
-        assert len(scores) == len(want) and np.allclose(scores, want, atol=0.03)  # single precision: some odds round otherwise
+        assert len(scores) == len(want) and np.allclose(scores, want, atol=0.05)  # single precision: some odds round otherwise
         assert np.mean(np.abs(scores - want)) < 6e-3
 
 
@@ -322,7 +315,7 @@ def test_lm_is_a_distribution():
     for start in (b"", b"a", b"abcab", b"zzzzzzz"):
         s = lm.Spelling.of([start + bytes([b]) for b in range(256) if b != 10])  # a newline alone ends a text
         z = m.margins(s).reshape(2, len(s.length), -1, 8)[:, :, len(start)] / lm.FINE
-        z = np.tensordot(m.first[1][:2] + [0.05, -0.1], z, 1)
+        z = np.tensordot(m.first + [0.05, -0.1], z, 1)
         assert (1 / (1 + np.exp(-z))).prod(axis=1).sum() == pytest.approx(1, abs=0.02)
 
 
