@@ -282,7 +282,7 @@ def test_lm_equals_plain_loops():
     odds = lambda one, zero: max(-127, min(127, round(math.log((one + 0.4) / (zero + 0.4)) * 16))) / 16
     texts = [*corpus[:12], [b"zz", b"abcabcabcabc"] * 40]
     lexicon = lm.Lexicon(m)
-    got = lm.token_scores(lexicon, lexicon.lookup(texts))
+    got, apart = lm.token_scores(lexicon, lexicon.lookup(texts)), []
     for t, scores in zip(texts, got, strict=True):
         own, move, want = np.zeros(2), np.zeros(2), []
         for k, w in enumerate([*t, b"\n"]):
@@ -304,8 +304,9 @@ def test_lm_equals_plain_loops():
                     move += s / (1 + math.exp(margin))
             want.append(total)
         assert len(scores) == len(want)
-        worst = np.sort(np.abs(scores - want))[::-1]  # single precision, and now and then two contexts share a cell
-        assert worst.mean() < 6e-3 and (len(worst) < 40 or worst[1] < 0.05)
+        apart += np.abs(scores - want).tolist()
+    # single precision, and now and then two contexts share a cell
+    assert len(apart) > 300 and np.mean(apart) < 6e-3 and np.quantile(apart, 0.95) < 0.02
 
 
 def test_lm_is_a_distribution():
