@@ -159,3 +159,75 @@ def test_merge_is_idempotent(spark):
     rows = spark.createDataFrame([("a", ["p"], "x", True), ("b", ["q", "r"], None, False)], "source_sha256 string, all_paths array<string>, lang string, extract_ok boolean")
     once = corpus.merge_sources(rows, rows)
     assert sorted(map(tuple, once.select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_html_elements_end_with_their_parent():
+    assert extract.html_text("<div><header>x</div><p>body text</p>") == "body text"
+    assert extract.html_text("<p>a<br>b<img src=x>c</p><nav>m</nav>d") == "a\nb\nc\nd"
+
+
+def test_verbatim_quotes(spark):
+    """Typographic quotes, citations, line breaks, parts of words and scripts without spaces."""
+    flood = "The “flood” risk rises (Smith et al., 2020) quickly"
+    texts = spark.createDataFrame([("s", [flood + ".", "Other words here."]), ("c", ["漢字は難しい。", "仮名"])], "sha string, sents array<string>")
+    quotes = spark.createDataFrame([(1, "s", flood), (2, "s", "flood” risk rises (Smith et al., 2020) qui"), (3, "c", "漢字は"), (4, "c", "仮名")], "query_id int, sha string, quote string")
+    got = {r.query_id: r for r in verify.verify_quotes(quotes, texts).collect()}
+    assert {k: r.verification_class for k, r in got.items()} == dict.fromkeys(got, "exact_or_near_exact")
+    assert got[1].candidate == 'The "flood" risk rises  quickly.' and got[1].fuzzy == 100 and (got[1].span.start, got[1].span.end) == (0, 0)
+    docs = spark.createDataFrame([("a", ["The reading comprehension test"]), ("b", ["書く漢字を"]), ("c", ["x漢"])], "sha string, sents array<string>")
+    parts = spark.createDataFrame([(1, "ading comprehension tes"), (2, "漢字"), (3, "漢"), (4, ""), (5, "ading"), (6, "reading  test")], "quote_id int, q string")
+    found = sorted((r.quote_id, r.sha) for r in verify.exact_tier(docs, parts).collect())
+    assert found == [(1, "a"), (2, "b"), (3, "b"), (3, "c"), (5, "a")]
+
+
+def test_no_candidate_after_windowing(spark):
+    texts = spark.createDataFrame([("s", ["(Smith, 2020)"])], "sha string, sents array<string>")
+    got = verify.verify_quotes(spark.createDataFrame([(1, "s", "some quote of enough length")], "query_id int, sha string, quote string"), texts).first()
+    assert (got.verification_class, got.failure_reason) == ("no_candidates", "no_valid_candidates_after_windowing")
+
+
+def test_top_units_fill_up(spark):
+    """The best units equal a full ranking, zero and negative scores included."""
+    import random
+
+    rnd = random.Random(3)
+    units = [(f"s{s}", i, [rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 4))]) for s in range(6) for i in range(rnd.choice([1, 2, 3, 25]))]
+    asked = [(q, f"s{q % 6}", [rnd.choice("abcdexyz") for _ in range(rnd.randint(0, 3))]) for q in range(24)]
+    u = spark.createDataFrame(units, "sha string, unit_idx int, tokens array<string>")
+    q = spark.createDataFrame(asked, "query_id int, sha string, tokens array<string>")
+    whole = retrieve.ranked(retrieve.bm25_all(u, q).withColumn("score", F.round("score", 9)), 5)
+    want = sorted((r.query_id, r.bm25_rank, r.unit_idx) for r in whole.collect())
+    assert sorted((r.query_id, r.bm25_rank, r.unit_idx) for r in retrieve.bm25_top(u, q, 5, digits=9).collect()) == want
+
+
+def test_names_by_brute_force(spark):
+    import random
+    import re
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abé1") for _ in range(rnd.randint(1, 3)))
+    name = lambda: rnd.choice(" _-").join(word() for _ in range(rnd.randint(1, 3))) + rnd.choice([".pdf", ".PDF", ".txt"])
+    files, rows = [("g", f"g/{name()}") for _ in range(40)], [(i, "g", name()) for i in range(60)]
+    stem = lambda s: re.sub(r"(?<=[^.])\.[^.]+$", "", s)
+    split, flat = (lambda s: {x for x in re.split("[^a-z0-9]+", s.lower()) if x}), (lambda s: re.sub("[^a-z0-9]+", "", s.lower()))
+    got = {r.key: (r.path, r.name_score) for r in tables.resolve_names(spark.createDataFrame(rows, "key int, group_id string, file_name_raw string"), spark.createDataFrame(files, "group_id string, path string")).collect()}
+    for key, _, raw in rows:
+        best = []
+        for _, path in files:
+            base = path.rsplit("/", 1)[-1]
+            score = len(split(stem(raw)) & split(stem(base))) / max(1, len(split(stem(raw))))
+            score += 0.5 * (flat(raw) != "" and flat(raw) in flat(base)) + 0.25 * (flat(stem(raw)) != "" and flat(stem(raw)) in flat(stem(base)))
+            if score > 0 or raw.lower() == base.lower():
+                best.append((raw.lower() != base.lower(), -score, path))
+        assert got[key] == ((min(best)[2], pytest.approx(-min(best)[1])) if best else (None, None)), raw
+
+
+def test_scores_of_repeated_candidates_stay_together(spark):
+    cands = spark.createDataFrame([("a",), ("b",), (None,)], "candidate_id string")
+    scored = spark.createDataFrame([("a", "neutral", 0.4), ("a", "contradiction", 0.9), ("a", None, None)], "candidate_id string, nli_label string, nli_score double")
+    got = {r.candidate_id: (r.nli_label, r.nli_score) for r in nli.merge_scores(cands, scored).collect()}
+    assert got == {"a": ("contradiction", 0.9), "b": (None, None), None: (None, None)}
+
+
+def test_missing_cells():
+    assert tabular.parse_csv(b"a,b\n1,\nNA,x\n") == [["a", "b"], ["1", None], [None, "x"]]

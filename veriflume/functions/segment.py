@@ -10,7 +10,10 @@ from .text import squeeze, strip
 
 # Abbreviations whose full stops end no sentence.
 ABBREVIATIONS = ("e.g.", "i.e.", "et al.", "Fig.", "Figs.", "Dr.", "Prof.", "Mr.", "Ms.", "Mrs.", "vs.", "No.", "St.", "Inc.", "Ltd.", "Jr.", "Sr.")
+# What stands for a full stop that ends no sentence (a text with this character is cut otherwise), and
+# initials.
 HOLD = "∯"
+INITIAL = r"\b([A-Z])\.\s"
 
 
 def sentences(c: Column) -> Column:
@@ -29,7 +32,7 @@ def sentences_abbrev(c: Column) -> Column:
     t = squeeze(c)
     for a in ABBREVIATIONS:
         t = F.replace(t, F.lit(a), F.lit(a.replace(".", HOLD)))
-    t = F.regexp_replace(t, r"\b([A-Z])\.\s", "$1" + HOLD + " ")
+    t = F.regexp_replace(t, INITIAL, "$1" + HOLD + " ")
     parts = F.split(t, r"(?<=[.!?])\s+")
     return F.filter(F.transform(parts, lambda s: squeeze(F.replace(s, F.lit(HOLD), F.lit(".")))), lambda s: s != "")
 

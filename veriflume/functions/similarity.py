@@ -15,6 +15,13 @@ def bound(c: Column, f) -> Column:
     return F.element_at(F.transform(F.array(c), f), 1)
 
 
+def char_stretches(c: Column, n: int) -> Column:
+    """Distinct stretches of ``n`` characters; a shorter string has none."""
+    last = F.length(c) - n + 1
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(n))))
+
+
 def char_ngrams(c: Column, n: int = 5) -> Column:
     """Distinct lower-cased n-grams; a shorter string is one of its own, an empty one has none."""
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What counts as a URL.
 URL = r"(?i)\bhttps?://[^\s<>'\"]+"
 # Tokens that point to something other than running text, in the order in which they are tried.
 GRAPH_TOKENS = ("figure", "fig.", "fig ", "graph", "diagram", "chart", "table", "image", "photo", "schematic", "map", "plot")
@@ -65,10 +66,6 @@ def group_key(c: Column) -> Column:
     return F.lower(squeeze(c))
 
 
-def report_name(group: Column) -> Column:
-    return F.concat(F.lit("Group_"), F.translate(group, "/ ", "__"), F.lit(".json"))
-
-
 def sha_normal(c: Column) -> Column:
     """Trimmed, lower-cased hex digest of 64 digits; sentinels and anything else are null."""
     v = F.lower(strip(c.cast("string")))
@@ -104,7 +101,7 @@ def unhyperlink(c: Column) -> Column:
 
 
 def urls_in(c: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"((?i)\bhttps?://[^\s<>'\"]+)"), F.lit(1))
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({URL})"), F.lit(1))
 
 
 def non_empty(c: Column) -> Column:

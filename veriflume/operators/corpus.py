@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_identity(files: DataFrame, content: str = "content") -> DataFrame:
-    """sha256 of the bytes: the key of everything that follows."""
-    return files.withColumn("source_sha256", F.sha2(F.col(content), 256))
-
-
 def dedup(rows: DataFrame, key: str, order: list[str], path: str) -> DataFrame:
     """One row per key, that of the first ``order``; ``all_paths`` is the sorted set of its paths.
 
@@ -21,12 +16,6 @@ def dedup(rows: DataFrame, key: str, order: list[str], path: str) -> DataFrame:
     return rows.groupBy(key).agg(first, F.array_sort(F.collect_set(path)).alias("all_paths")).select(key, "first.*", "all_paths")
 
 
-def sources_from_pairs(pairs: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """Distinct sources of pairs with a digest; the first row of each wins."""
-    kept = pairs.where(F.col("source_sha256").isNotNull())
-    return kept.groupBy("source_sha256").agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("s")).select("source_sha256", "s.*")
-
-
 def _merged_paths() -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list("all_paths")))).alias("all_paths")
 
@@ -53,11 +42,6 @@ def merge_sources(old: DataFrame, new: DataFrame, rule: str = "first") -> DataFr
     return both.groupBy("source_sha256").agg(*out)
 
 
-def last_per_key(log: DataFrame, keys: list[str], seq: Column, *values: str) -> DataFrame:
-    """Latest values per key of an append-only log."""
-    return log.groupBy(*keys).agg(*[F.max_by(v, seq).alias(v) for v in values])
-
-
 def missing_sidecars(pairs: DataFrame, sidecars: DataFrame) -> DataFrame:
     """Cited digests without any extracted text, one row each, in order."""
     cited = pairs.where(F.coalesce(F.trim("source_sha256"), F.lit("")) != "")

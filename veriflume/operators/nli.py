@@ -62,13 +62,17 @@ def lexical_scorer(premises: list[str], hypotheses: list[str]) -> list[dict[str,
     return out
 
 
-def score(cands: DataFrame, scorer: Scorer = lexical_scorer, batch: int = 8) -> DataFrame:
-    """Adds the label and probabilities; premise is the window, hypothesis the query."""
+def score(cands: DataFrame, scorer: Scorer = lexical_scorer, batch: int = 8, max_length: int | None = None) -> DataFrame:
+    """Adds the label and probabilities; premise is the window, hypothesis the query. ``max_length`` cuts premises to so
+    many words (a model's scorer may cut by its own tokens instead)."""
+
+    def cut(text: str) -> str:
+        return text if max_length is None else " ".join(text.split()[:max_length])
 
     @F.pandas_udf("nli_label string, nli_score double, nli_entailment double, nli_neutral double, nli_contradiction double")
     def udf(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for premise, hypothesis in parts:
-            p, h, rows = premise.fillna("").tolist(), hypothesis.fillna("").tolist(), []
+            p, h, rows = [cut(x) for x in premise.fillna("")], hypothesis.fillna("").tolist(), []
             for i in range(0, len(p), batch):
                 rows += [normal_label(r) for r in scorer(p[i : i + batch], h[i : i + batch])]
             yield pd.DataFrame(rows, columns=list(COLUMNS))
@@ -77,9 +81,15 @@ def score(cands: DataFrame, scorer: Scorer = lexical_scorer, batch: int = 8) ->
 
 
 def merge_scores(cands: DataFrame, scored: DataFrame) -> DataFrame:
-    """All candidates with the scores of those that have some; a new score wins over an old one."""
+    """All candidates with the scores of those that have some; a new score wins over an old one.
+
+    Of scores that repeat a candidate the one with the largest score counts, as a whole row.
+    """
     have = [c for c in COLUMNS if c in scored.columns]
-    new = scored.where(F.col("candidate_id").isNotNull()).groupBy("candidate_id").agg(*[F.first(c, ignorenulls=True).alias(f"_{c}") for c in have])
+    given = F.struct(*[F.col(c).alias(f"_{c}") for c in have])
+    order = F.struct(*[F.col(c) for c in ("nli_score", "nli_label") if c in have], F.xxhash64(*have))
+    known = scored.where(F.col("candidate_id").isNotNull() & F.coalesce(*[F.col(c).cast("string") for c in have]).isNotNull())
+    new = known.groupBy("candidate_id").agg(F.max_by(given, order).alias("g")).select("candidate_id", "g.*")
     out = cands.join(new, "candidate_id", "left")
     return out.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) if c in cands.columns else F.col(f"_{c}") for c in have}).drop(*[f"_{c}" for c in have])
 

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import char_stretches
 from ..functions.text import URL, basename, graph_reason, non_empty, sanitize_filename, sha_normal, stem, strip, suffix, unhyperlink, urls_in
 
 CANON = ("quote_from_report", "file_name", "quote_from_source")
@@ -16,6 +17,7 @@ SYNONYMS = {
     "file_name": ("file name", "filename", "source", "source file", "file", "file_name"),
     "quote_from_source": ("quote from source", "used text from source", "text from source", "quote from resource", "qoute from source", "in-tekst ref"),
 }
+PDF_NAME = r"(?i)\.pdf(?:[?#].*)?$"
 RESOLVABLE = (".pdf", ".docx", ".doc", ".rtf", ".html", ".htm", ".txt", ".md")
 
 
@@ -54,18 +56,26 @@ def drop_blank_columns(df: DataFrame) -> DataFrame:
     return flat.select(*[F.col(f"_{i}").alias(df.columns[i]) for i in keep])
 
 
+def value_stats(rows: DataFrame, keys: list[str], value: Column) -> DataFrame:
+    """Per key what column inference needs of a value: whether any is there, any is filled, mean length, and rates of
+    punctuation, file names and sentences."""
+    v = strip(F.coalesce(value.cast("string"), F.lit("")))
+    rate = lambda cond: F.avg(cond.cast("int"))
+    punct = v.rlike(r"[.!?]")
+    return rows.groupBy(*keys).agg(
+        F.max(value.isNotNull()).alias("any"), F.max(~v.isin("", "nan", "None")).alias("filled"), F.avg(F.when(F.length(v) > 0, F.length(v))).alias("length"),
+        rate(punct).alias("punct"), rate(v.rlike(PDF_NAME) | v.rlike(URL)).alias("fileish"), rate((F.length(v) > 50) & punct).alias("quotey"),
+    )
+
+
 def column_stats(df: DataFrame) -> dict[str, dict[str, float | None]]:
     """What inference needs of every column, in one pass: mean length, rates of punctuation, file names and sentences."""
-    out = []
-    for i, c in enumerate(df.columns):
-        v = strip(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))
-        rate = lambda cond: F.avg(cond.cast("int"))
-        punct = v.rlike(r"[.!?]")
-        out.append(F.struct(F.avg(F.when(F.length(v) > 0, F.length(v))).alias("length"), rate(punct).alias("punct"), rate(v.rlike(r"(?i)\.pdf(?:[?#].*)?$") | v.rlike(URL)).alias("fileish"), rate((F.length(v) > 50) & punct).alias("quotey")).alias(f"_{i}"))
-    if not out:
+    if not df.columns:
         return {}
-    row = df.agg(*out).first()
-    return {c: {k: row[f"_{i}"][k] for k in ("length", "punct", "fileish", "quotey")} for i, c in enumerate(df.columns)}
+    cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(df.columns)])
+    got = value_stats(df.select(F.explode(cells).alias("c")).select("c.*"), ["pos"], F.col("value")).collect()  # a row per column
+    stats = {r["pos"]: {k: r[k] for k in ("length", "punct", "fileish", "quotey")} for r in got}
+    return {c: stats.get(i, dict.fromkeys(("length", "punct", "fileish", "quotey"))) for i, c in enumerate(df.columns)}
 
 
 def choose_columns(names: list[str], stats: dict[str, dict[str, float | None]]) -> dict[str, str | None]:
@@ -100,6 +110,23 @@ def collapse(df: DataFrame, keep_url: bool = True, keep: tuple[str, ...] = ()) -
     return df.select(*keep, *out, *([F.col(f"`{seen[url]}`").alias("url")] if url and url not in picks.values() else []))
 
 
+def previews(cells: DataFrame, n: int = 4) -> DataFrame:
+    """``path, sheet_name, row_index, columns, cells``: the first ``n`` rows of every sheet, canonical columns first."""
+    names = F.udf(lambda names: _preview_order(list(names)), "array<struct<name:string,at:int>>")
+    rows = cells.where((F.col("row_index") < n) & F.col("error").isNull()).withColumn("o", names(F.transform("cells", lambda c: c["name"])))
+    values = F.transform("o", lambda o: F.coalesce(F.when(o["at"] >= 0, F.element_at("cells", o["at"] + 1)["value"]), F.lit("")))
+    return rows.select("path", "sheet_name", "row_index", F.transform("o", lambda o: o["name"]).alias("columns"), values.alias("cells")).orderBy("path", "sheet_name", "row_index")
+
+
+def _preview_order(names: list[str]) -> list[tuple[str, int]]:
+    """Names and places of the first three columns of a preview, padded."""
+    first: dict[str, int] = {}
+    for i, name in enumerate(canonical_headers(names, preview=True)):
+        first.setdefault(name, i)
+    order = [c for c in CANON if c in first] + [c for c in first if c not in CANON]
+    return [(c, first[c]) for c in order[:3]] + [("", -1)] * (3 - len(order[:3]))
+
+
 def preview(df: DataFrame, n: int = 4) -> DataFrame:
     """Canonical columns first, then from the left, padded to three; the first ``n`` rows."""
     df = with_headers(df, preview=True)
@@ -131,8 +158,8 @@ def resolve_names(rows: DataFrame, files: DataFrame, min_score: float = 0.0) ->
     start = F.coalesce(F.nullif(_squashed(stem(F.col("_raw"))), F.lit("")), _squashed(F.col("_raw")))
     of_row = F.array_union(F.array(F.concat(F.lit("="), F.lower("_raw")), F.concat(F.lit("~"), F.substring(start, 1, 3))), name_tokens(stem(F.col("_raw"))))
     flat = _squashed(file_name)
-    grams = [F.transform(F.when(F.length(flat) >= n, F.sequence(F.lit(1), F.length(flat) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i, n=n: F.concat(F.lit("~"), F.substr(flat, i, F.lit(n)))) for n in (1, 2, 3)]
-    of_file = F.array_union(F.array_union(F.array(F.concat(F.lit("="), F.lower(file_name))), name_tokens(stem(file_name))), F.concat(*grams))
+    grams = F.concat(*[F.transform(char_stretches(flat, n), lambda x: F.concat(F.lit("~"), x)) for n in (1, 2, 3)])
+    of_file = F.array_union(F.array_union(F.array(F.concat(F.lit("="), F.lower(file_name))), name_tokens(stem(file_name))), grams)
     asked = named.select("key", "group_id", "_raw", F.explode(F.array_distinct(of_row)).alias("_by"))
     both = asked.join(kept.select("group_id", "path", F.explode(F.array_distinct(of_file)).alias("_by")), ["group_id", "_by"]).drop("_by").distinct()
     name = basename(F.col("path"))

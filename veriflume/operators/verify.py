@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import VerifyConfig
 from ..functions.segment import sentence_count
-from ..functions.similarity import char_jaccard, literal_bonus, partial_ratio_udf, token_cosine
+from ..functions.similarity import char_jaccard, char_stretches, literal_bonus, partial_ratio_udf, token_cosine
 from ..functions.text import basename, bm25_tokens, match_form, quote_intent, strip, word_tokens
 from . import retrieve
 
@@ -133,8 +133,8 @@ def exact_tier(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     parts = asked.where(F.size("inner") == 0).withColumn("g", F.least(F.lit(2), F.length("q")))
     tiers = [
         (whole.select("quote_id", "q", F.explode(F.array_distinct("inner")).alias("key")), F.array_distinct(bm25_tokens(F.col("form")))),
-        (parts.where("g = 2").select("quote_id", "q", F.explode(_grams(F.col("q"), 2)).alias("key")), _grams(F.col("form"), 2)),
-        (parts.where("g = 1").select("quote_id", "q", F.col("q").alias("key")), _grams(F.col("form"), 1)),
+        (parts.where("g = 2").select("quote_id", "q", F.explode(char_stretches(F.col("q"), 2)).alias("key")), char_stretches(F.col("form"), 2)),
+        (parts.where("g = 1").select("quote_id", "q", F.col("q").alias("key")), char_stretches(F.col("form"), 1)),
     ]
     found = None
     for wanted, keys in tiers:
@@ -144,10 +144,3 @@ def exact_tier(docs: DataFrame, quotes: DataFrame) -> DataFrame:
         met = rare.join(rows, "key").select("quote_id", "q", "sha", "sent_idx")
         found = met if found is None else found.unionByName(met)
     return found.join(sents, ["sha", "sent_idx"]).where(F.contains("form", F.col("q"))).select("quote_id", "sha", "sent_idx", "sentence")
-
-
-def _grams(c: Column, n: int) -> Column:
-    """Distinct stretches of ``n`` characters."""
-    last = F.length(c) - n + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(n))))

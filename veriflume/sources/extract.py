@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import io
 import random
+import shutil
+import subprocess
+import tempfile
+import threading
 import time
+import uuid
 import zipfile
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -21,24 +26,29 @@ from ..functions.text import suffix, valid_utf8, whitespace_normal
 
 # Elements whose content is not text of a page.
 SKIPPED = ("script", "style", "nav", "header", "footer")
+# Elements that have no end tag.
+EMPTY_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
 class _Text(HTMLParser):
+    """Text outside skipped elements. An element that is never closed ends with the one it stands in."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.depth, self.parts = {}, []
+        self.open, self.parts = [], []
 
     def handle_starttag(self, tag, attrs):
-        if tag in SKIPPED:
-            self.depth[tag] = self.depth.get(tag, 0) + 1
+        if tag not in EMPTY_ELEMENTS:
+            self.open.append(tag)
 
     def handle_endtag(self, tag):
-        if self.depth.get(tag):
-            self.depth[tag] -= 1
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
 
     def handle_data(self, data):
-        if not any(self.depth.values()):
+        if not any(t in SKIPPED for t in self.open):
             self.parts.append(data)
 
 
@@ -104,6 +114,14 @@ class RateLimiter:
         self.next = max(now, self.next) + self.gap
 
 
+_limiters: dict[float, RateLimiter] = {}
+
+
+def limiter_of(rps: float) -> RateLimiter:
+    """The limiter of this worker: calls keep their distance from batch to batch."""
+    return _limiters.setdefault(rps, RateLimiter(rps))
+
+
 class ServiceError(Exception):
     def __init__(self, status: int | None, message: str = ""):
         super().__init__(message or str(status))
@@ -142,6 +160,53 @@ class Extractors:
     retries: int = 3
 
 
+def tei_service(url: str, timeout: float = 60) -> Callable[[bytes], str]:
+    """A client of a TEI service: posts a PDF as a form, gets XML."""
+
+    def call(data: bytes) -> str:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        mark = uuid.uuid4().hex
+        head = f'--{mark}\r\nContent-Disposition: form-data; name="input"; filename="input.pdf"\r\nContent-Type: application/pdf\r\n\r\n'
+        body = head.encode() + data + f"\r\n--{mark}--\r\n".encode()
+        request = Request(f"{url.rstrip('/')}/api/processFulltextDocument", data=body, headers={"Content-Type": f"multipart/form-data; boundary={mark}"})
+        try:
+            with urlopen(request, timeout=timeout) as r:
+                return r.read().decode()
+        except HTTPError as e:
+            raise ServiceError(e.code) from e
+
+    return call
+
+
+#: OCR runs at once in one worker, and seconds that one may take.
+OCR_JOBS, OCR_SECONDS = 2, 300
+_ocr_slots = threading.Semaphore(OCR_JOBS)
+
+
+def ocr_program(program: str = "ocrmypdf") -> Callable[[bytes], str] | None:
+    """OCR text by a program that writes a side file; none where the program isn't installed. Too slow or failed runs
+    give no text."""
+    if shutil.which(program) is None:
+        return None
+
+    def call(data: bytes) -> str:
+        from veriflume.sources.extract import _ocr_slots  # a semaphore can't travel with the function
+
+        with _ocr_slots, tempfile.TemporaryDirectory() as d:  # read and removed within this call
+            with open(f"{d}/in.pdf", "wb") as f:
+                f.write(data)
+            try:
+                subprocess.run([program, "--force-ocr", "--sidecar", f"{d}/out.txt", f"{d}/in.pdf", f"{d}/out.pdf"], timeout=OCR_SECONDS, check=True, capture_output=True)
+                with open(f"{d}/out.txt", encoding="utf-8", errors="ignore") as f:
+                    return f.read().strip()
+            except (OSError, subprocess.SubprocessError):
+                return ""
+
+    return call
+
+
 def should_ocr(text: str | None, pages: list[str] | None, allow_long: bool) -> bool:
     """Several pages, not over 40 unless allowed, hardly any text, none on the first three."""
     n = len(pages or [])
@@ -196,7 +261,7 @@ def extract_documents(files: DataFrame, tools: Extractors = Extractors()) -> Dat
 
     @F.pandas_udf(RESULT)
     def udf(path: pd.Series, ext_: pd.Series, content: pd.Series) -> pd.DataFrame:
-        limiter = RateLimiter(tools.rps)
+        limiter = limiter_of(tools.rps)
         return pd.DataFrame([one(p, e, bytes(c), limiter) for p, e, c in zip(path, ext_, content, strict=True)], columns=[x.split()[0] for x in RESULT.split(", ")])
 
     rest = base.where(~F.coalesce(F.col("canonical_ext"), F.lit("")).isin(".txt", ".md", ".rst")).withColumn("r", udf("path", "canonical_ext", "content"))

@@ -16,6 +16,14 @@ from ..operators.tables import url_file_name
 Fetcher = Callable[[str, float], tuple[dict[str, str], bytes]]
 
 
+def http_get(url: str, timeout: float) -> tuple[dict[str, str], bytes]:
+    """The plain fetcher: headers and body of a GET; statuses from 400 on raise."""
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(url, headers={"User-Agent": "veriflume"}), timeout=timeout) as r:
+        return dict(r.headers.items()), r.read()
+
+
 def download_name(url: str, headers: dict[str, str]) -> str:
     """Name from Content-Disposition, else the URL's tail if it has a dot, else ``download.bin``."""
     given = next((v for k, v in headers.items() if k.lower() == "content-disposition"), "")
@@ -25,7 +33,7 @@ def download_name(url: str, headers: dict[str, str]) -> str:
     return re.sub(r'[\\:*?"<>|]+', "_", name.rsplit("/", 1)[-1]).strip() or "download.bin"
 
 
-def fetch(urls: DataFrame, log: DataFrame, fetcher: Fetcher, timeout: float = 20, parallel: int = 4) -> DataFrame:
+def fetch(urls: DataFrame, log: DataFrame, fetcher: Fetcher = http_get, timeout: float = 20, parallel: int = 4) -> DataFrame:
     """``group_id, url, saved_as, name, content, timestamp`` of http URLs that the log has no saved name for.
 
     A failure gives nulls, never an error. ``parallel`` bounds how many tasks call at once. Names are unique per URL.

@@ -23,7 +23,7 @@ def write_group_json(reports: DataFrame, path: str, group: str = "group") -> Non
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    rows.select("timestamp", "url", "saved_as").write.mode("append").option("header", True).csv(path)
+    rows.select(*[c for c in ("timestamp", "url", "saved_as", "group_id") if c in rows.columns]).write.mode("append").option("header", True).csv(path)
 
 
 def append_texts(new: DataFrame, path: str) -> None:
