@@ -248,9 +248,8 @@ def small_mixer(rng, corpus):
     words, n = list(seen), np.array(list(seen.values()))
     lm.add_words(cells, words, n, n >= 2)
     m = lm.Mixer(cells)
-    for layer in m.layers:
-        layer.weights = rng.normal(0.25, 0.1, layer.weights.shape).astype(np.float32)
-        layer.refine = rng.normal(0, 0.02, layer.refine.shape).astype(np.float32)
+    m.layer.weights = rng.normal(0.25, 0.1, m.layer.weights.shape).astype(np.float32)
+    m.layer.refine = rng.normal(0, 0.02, m.layer.refine.shape).astype(np.float32)
     m.first = rng.normal(0.4, 0.1, 2).astype(np.float32)
     m.rate = 1e-3
     return m, seen
@@ -295,10 +294,9 @@ def test_lm_equals_plain_loops(monkeypatch):
                     cs = contexts(spelt, i, bits_of(byte)[:j])
                     x = np.array([odds(counts[c, "1"], counts[c, "0"]) for c in cs] + [0.25])
                     level = int(np.digitize(counts[cs[-1], "1"] + counts[cs[-1], "0"], lm.LEVELS))
-                    z, first = [], i == 0
-                    for layer, gate in zip(m.layers, (level + first * (len(lm.LEVELS) + 1), j + first * 8), strict=True):
-                        v = float(np.clip(x @ layer.weights[gate], -15.9, 15.9))
-                        z.append(v + layer.refine[gate * lm.BUCKETS + int(v * 2 + lm.BUCKETS // 2)])
+                    gate = level + (i == 0) * (len(lm.LEVELS) + 1)
+                    v = float(np.clip(x @ m.layer.weights[gate], -15.9, 15.9))
+                    z = [v + m.layer.refine[gate * lm.BUCKETS + int(v * 2 + lm.BUCKETS // 2)], x[-2]]
                     s = np.array(z) if bit == "1" else -np.array(z)
                     margin = float(np.clip((m.first + own) @ s, -17, 17))
                     total -= math.log10(1 + math.exp(-margin))
@@ -342,16 +340,22 @@ def test_lm_match_model(spark):
     rng = np.random.default_rng(8)
     pool = [rng.integers(0, 1 << 62, rng.integers(40, 200)).astype(np.uint64) for _ in range(6)]
     texts = [np.concatenate([pool[i] for i in rng.integers(0, 6, rng.integers(0, 4))] + [rng.integers(0, 1 << 62, 30).astype(np.uint64)]) for _ in range(40)]
-    texts += [texts[3], texts[3], np.empty(0, np.uint64)]
-    held, cut = [i % 5 == 0 for i in range(len(texts))], [lm.stretches(t) for t in texts]
-    for t, (starts, context, _, _) in zip(texts, cut, strict=True):
-        assert len(starts) == len(context) + 1 and (len(t) <= lm.CONTEXT or starts[1] == lm.CONTEXT)
-    data = [(i, bool(h), c.tolist(), b.tolist(), o.tolist(), [-1.0] * len(c)) for i, (h, (_, c, b, o)) in enumerate(zip(held, cut, strict=True))]
+    texts += [texts[3], texts[3], texts[0][:2], texts[0][:4]]
+    held, cut = [i % 5 == 0 for i in range(len(texts))], []
+    starts, opening, *rest = lm.stretches(np.concatenate(texts), np.array([len(t) for t in texts]))
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[starts]
+    for i, t in enumerate(texts):
+        mine = [r[text[~opening] == i] for r in rest]
+        alone = lm.stretches(t, np.array([len(t)]))
+        assert all((a == b).all() for a, b in zip(mine, alone[2:], strict=True))  # whatever lies beside it
+        assert len(alone[0]) == len(mine[0]) + 1 and (len(t) <= lm.CONTEXT or alone[0][1] == lm.CONTEXT)
+        cut.append(mine)
+    data = [(i, bool(h), c.tolist(), b.tolist(), o.tolist(), [-1.0] * len(c)) for i, (h, (c, b, o)) in enumerate(zip(held, cut, strict=True))]
     scored = spark.createDataFrame(data, "row long, held_out boolean, context array<long>, body array<long>, once array<boolean>, spelled array<double>")
     got = {(r.row, r.state, r.hit): r.n for r in lm._matched(scored).collect()}
     want: Counter = Counter()
-    for i, (_, context, body, _) in enumerate(cut):
-        others = Counter(x for j, (_, c, b, _) in enumerate(cut) if not held[j] and j != i for x in set(zip(c.tolist(), b.tolist(), strict=True)))
+    for i, (context, body, _) in enumerate(cut):
+        others = Counter(x for j, (c, b, _) in enumerate(cut) if not held[j] and j != i for x in set(zip(c.tolist(), b.tolist(), strict=True)))
         for c, b in zip(context.tolist(), body.tolist(), strict=True):
             after = sorted((-n, x) for (k, x), n in others.items() if k == c)
             state = min(-after[0][0], 7) * 8 + min(-after[1][0] if after[1:] else 0, 7) if after else 0
@@ -495,6 +499,18 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_warc_odd(spark):
+    """Columns of the operator's own names, a very long page, one page in a third of the rows, empty pages."""
+    big, long = "<p>x</p>" * 200, "long é " * 400_000
+    data = [(i, "u", big if i % 3 == 0 else "" if i % 3 == 1 else f"page {i} " * 200, "d", 1, 2) for i in range(300)] + [(1000, "u", long, "d", 1, 2)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string, digest string, n_bytes int, largest int")
+    got = {r.page_id: r for r in warc.archive_pages(pages).collect()}
+    assert len(got) == 301 and got[1000].payload_bytes == len(long.encode())
+    for i in range(300):
+        want = ("revisit", 297) if i % 3 == 0 and i != 297 else ("response", None)
+        assert (got[i].record_type, got[i].refers_to, got[i].payload_digest) == (*want, hashlib.sha1(data[i][2].encode()).hexdigest())
+
+
 def test_ranges():
     assert warc.ranges([(0, 10), (10, 5), (100, 10)], gap=0) == [(0, 15, 2), (100, 10, 1)]
     assert warc.ranges([(0, 10), (12, 5)], gap=5, window=15) == [(0, 10, 1), (12, 5, 1)]
@@ -539,10 +555,91 @@ def test_near_classes(spark):
     text = docs(spark).orderBy(F.desc("n_chars")).first().text[:4000]
     near = text[:1000] + "!" + text[1000:2500] + text[2504:]
     d = spark.createDataFrame([(5, text), (3, near), (9, text), (7, text[::-1]), (8, "")], "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in editfp.near_classes(d, min_likeness=0.5).collect()}
+    got = {r.doc_id: r.class_id for r in editfp.near_classes(d).collect()}
     assert got[5] == got[3] == got[9] == 3 and got[7] == 7 and got[8] == 8
 
 
+def test_near_classes_brute_force(spark, odd, none):
+    """Graded chains and texts that share their ends, at the default threshold: the classes of all pairs that share a band."""
+    rng = np.random.default_rng(11)
+    texts, tail = [], "the same end of many texts " * 12
+    for _ in range(12):
+        t = "".join(rng.choice(list("abcdefgh "), 700))
+        for _ in range(8):
+            texts.append(t + tail if rng.random() < 0.3 else t)
+            for _ in range(rng.integers(1, 12)):
+                i = int(rng.integers(len(t)))
+                t = t[:i] + str(rng.choice(list("xyz"))) + t[i + 1 :]
+    fps = [editfp.fingerprint(t) for t in texts]
+    chosen = np.random.default_rng(editfp.SEED + 99).permutation(editfp.SAMPLES).reshape(16, -1)
+
+    def bands(fp):
+        raw = np.frombuffer(bytes.fromhex(fp), dtype=np.uint8)
+        parts = ((raw[0] + i, b, tuple(raw[1 + i * 64 :][:64][at])) for i in (0, 1) for b, at in enumerate(chosen))
+        return {x for x in parts if any(x[2])}
+
+    keys, root = [bands(f) for f in fps], list(range(len(fps)))
+    for i, j in combinations(range(len(fps)), 2):
+        if fps[i] == fps[j] or (keys[i] & keys[j] and editfp.likeness(fps[i], fps[j]) >= 0.8):
+            a, b = sorted((root[i], root[j]))
+            root = [a if r == b else r for r in root]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in editfp.near_classes(d).collect()} == dict(enumerate(root))
+    rows_ = editfp.near_classes(odd).collect()
+    by = {r.doc_id: r for r in rows_}
+    assert len(rows_) == 11 and by[3].class_id == by[4].class_id == 3 and by[3].n_copies == 2 and by[2].class_id == 1 and by[2].n_copies == 3
+    assert editfp.near_classes(none).count() == 0
+
+
+def test_scratch(spark):
+    """Only a session in one process may do without a shared folder; scratch goes when it is cleared."""
+    from types import SimpleNamespace
+
+    from veriflume.llm import common
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_root(far)
+    path = common.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    common.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_packing_of_one_length(spark):
+    """A length that most rows have, odd column names and repeats."""
+    rng = np.random.default_rng(2)
+    length = np.where(rng.random(3000) < 0.6, 700, rng.integers(1, 2049, 3000))
+    d = spark.createDataFrame([(int(n), i % 50, "x", i, 1.0) for i, n in enumerate(length)], "length int, row int, len string, tie int, grp double")
+    got = packing.pack(d).toPandas()
+    assert sorted(got.columns) == sorted([*d.columns, "sequence_id", "offset"]) and sorted(got.length) == sorted(length.tolist())
+    check_packing(got)
+    assert got.sequence_id.nunique() <= 1.25 * math.ceil(length.sum() / packing.CAPACITY)
+
+
+def test_shards_against_plain_sizes(spark, odd):
+    """Sizes, checksums, equal texts together, null ids spread."""
+    texts = {r.doc_id: r.text for r in docs(spark).collect()}
+    for r in sharding.shards(docs(spark)).collect():
+        assert (r.size, r.text_crc32) == (len((texts[r.doc_id] or "").encode()) + 1, zlib.crc32((texts[r.doc_id] or "").encode()))
+    many = spark.createDataFrame([(None, "same text")] * 400, "doc_id long, text string")
+    assert sharding.shards(many).groupBy("shard").count().agg(F.max("count")).first()[0] <= 60
+    clash = odd.selectExpr("doc_id", "text", "1 AS h", "2 AS d", "3 AS size", "4 AS run")
+    assert sharding.shards(clash).columns == sharding.shards(odd).columns
+
+
+def test_simhash_fingerprint_by_plain_loop():
+    import xxhash
+
+    for text in ("One two\tTHREE four five", "a", "", "é É x y z w", "w " * 50):
+        words = [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).replace("\t", " ").split(" ") if w]
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        assert simhash.fingerprint(text) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def test_near_copies_brute_force(spark, odd, none):
     """The pipeline's stage against all pairs: edits that simhash misses, graded chains, a line that many texts share."""
     import corpus_pipeline

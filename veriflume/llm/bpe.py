@@ -3,8 +3,9 @@
 The merge list is compiled once: starting from one state that loops on every base symbol, each merge ``u v -> uv`` adds
 a gadget in priority order. The gadget bars ``v`` behind ``u`` (splitting the state behind ``u`` from its sharers) and
 gives every state that has a ``u`` arc a ``uv`` arc to where ``v`` leads. The resulting automaton accepts exactly one
-tokenization of each word, and of each prefix of it, so encoding is one left-to-right pass over table-driven
-transitions. Decoding emits the labels of the arcs that the ids name.
+tokenization of each word. Which arc leads on depends on what follows, so encoding tries a state's arcs with the longest
+label first and steps back where none leads to the word's end; every step is a transition of the automaton, and the
+path found is the only one. Decoding emits the labels of the arcs that the ids name.
 
 States are stored as differences (what a gadget barred, and from which state it was split), not as dense rows: a
 vocabulary of 50,000 tokens would need billions of cells. Looked-up cells are remembered in a bounded table.

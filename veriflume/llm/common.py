@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,18 +13,25 @@ from pyspark.sql import functions as F
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (single-machine tests) a local folder is set.
+    Only where the session names none and runs in one process (tests) a local folder is set; a cluster without a shared
+    folder is an error, as executors would write where nobody reads.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="veriflume-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/veriflume/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/veriflume/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -33,9 +41,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables that operators of this application wrote to the shared folder. Results that have not been read
+    to their end by then can't be read any more, so only the session's owner knows when."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -67,6 +76,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SENT_ROWS = 1_000_000
 
 
-def sendable(ids: DataFrame) -> DataFrame:
-    """``ids`` (a table of one or two numbers a row, as written), marked for broadcast if it has few enough rows."""
-    return F.broadcast(ids) if ids.count() <= SENT_ROWS else ids
+def sendable(ids: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """``ids`` (a table of a few short values a row, as written), marked for broadcast if it has few enough rows."""
+    return F.broadcast(ids) if ids.count() <= most else ids

@@ -6,7 +6,9 @@ The edges of a round are written to the shared folder, so lineage stays short an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -44,3 +46,46 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+
+
+#: Rounds of comparisons with one node a key, unless before the pairs left are at most ``FEW`` times the members.
+ROUNDS, FEW = 2, 4
+
+
+def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame], start: DataFrame | None = None, possible: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """Verified pairs ``a, b`` that join the same components as all verified pairs that meet at a key do.
+
+    ``members`` has ``key, node, n``: who meets where; ``verified`` keeps the good ones of pairs ``a, b``; ``start``
+    holds pairs known to be good; ``possible`` is a cheap condition on the two ``n`` that good pairs meet. In each round
+    all at a key are compared with one of them that are not yet in its component. When few pairs are left that meet and
+    lie in different components, or after ``ROUNDS``, all of these are compared, so that no link is lost. Two that are
+    already in one component are never compared: a key that many alike nodes share costs no square.
+    """
+    spark = members.sparkSession
+    fits = possible or (lambda n, m: F.lit(True))
+    kind = members.schema["node"].dataType.simpleString()
+    good = materialise(start, "links") if start is not None else spark.createDataFrame([], f"a {kind}, b {kind}")
+
+    def placed() -> DataFrame:
+        roots = components(good)
+        return materialise(members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
+
+    now = placed() if start is not None else members.withColumn("root", F.col("node"))
+    total = members.count()
+    for i in range(ROUNDS):
+        hub = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(i))).alias("hub")
+        hubs = now.groupBy("key").agg(hub, (F.min("root") != F.max("root")).alias("open")).where("open")
+        hubs = hubs.select("key", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.root").alias("root_a"))
+        pairs = now.join(hubs, "key").where(fits("n", "n_a") & (F.col("root") != F.col("root_a"))).select("a", F.col("node").alias("b")).distinct()
+        good = materialise(good.unionByName(verified(pairs)), "links")
+        now = placed()
+        sizes = now.groupBy("key", "root").count().groupBy("key")
+        ways = sizes.agg((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("ways"))
+        if (ways.agg(F.sum("ways")).first()[0] or 0) <= FEW * total:
+            break
+    mixed = now.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("key")
+    mixed = materialise(now.join(mixed, "key", "left_semi"), "apart")
+    other = mixed.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    apart = (F.col("a") < F.col("node")) & (F.col("root") != F.col("root_a"))
+    pairs = mixed.join(other, "key").where(fits("n", "n_a") & apart).select("a", F.col("node").alias("b")).distinct()
+    return materialise(good.unionByName(verified(pairs)), "links")

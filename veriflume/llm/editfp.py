@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, need
-from .components import components
+from .components import components, linked
 
 SAMPLES, CLASSES, PERIOD = 64, 64, 1 << 14
 SEED = 20240229
@@ -193,12 +193,13 @@ def fingerprint_documents(docs: DataFrame, run_rows: int = 256, run_chars: int =
 
 
 def near_classes(docs: DataFrame, bands: int = 16, min_likeness: float = 0.8) -> DataFrame:
-    """``doc_id, fingerprint, class_id, links``: texts whose fingerprints are at least ``min_likeness`` alike.
+    """``doc_id, fingerprint, class_id, n_copies``: texts whose fingerprints are at least ``min_likeness`` alike.
 
-    Distinct fingerprints emit bands of randomly chosen samples (per scale); those that share a band become stars round
-    the smallest there, are verified and joined to classes; class_id is the smallest doc_id of a class and links the
-    number of verified links of the fingerprint. A band that most texts share (a run of ends) is left out: it holds no
-    sample inside the text.
+    Distinct fingerprints emit bands of randomly chosen samples (per scale); those that share a band are candidates,
+    verified by likeness, and joined to classes: the same as if all pairs that share a band were compared. class_id is
+    the smallest doc_id of a class, n_copies the number of rows with this very fingerprint. A band without a sample
+    inside the text says nothing and is left out. Null text is empty; rows that repeat stay; null ids name no class
+    unless all its ids are null.
     """
     need(docs, "doc_id", "text")
 
@@ -208,33 +209,39 @@ def near_classes(docs: DataFrame, bands: int = 16, min_likeness: float = 0.8) ->
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     fps = materialise(docs.select("doc_id", "text").mapInPandas(prints, f"doc_id {id_type}, fp string"), "edit-prints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
+    groups = materialise(groups.withColumn("node", F.monotonically_increasing_id()), "edit-groups")
     chosen = np.random.default_rng(SEED + 99).permutation(SAMPLES).reshape(bands, -1)
 
     def emit(batches):
         for pdf in batches:
-            rows = []
-            for fp in pdf.fp:
+            keys, nodes = [], []
+            for fp, node in zip(pdf.fp, pdf.node, strict=True):
                 raw = np.frombuffer(bytes.fromhex(fp), dtype=np.uint8)
                 for i in (0, 1):
                     part = raw[1 + i * SAMPLES :][:SAMPLES]
                     for b, at in enumerate(chosen):
                         if part[at].any():
-                            rows.append((f"{raw[0] + i}.{b}.{part[at].tobytes().hex()}", fp))
-            yield pd.DataFrame(rows, columns=["band", "fp"])
+                            keys.append(hash_of(bytes((raw[0] + i, b)) + part[at].tobytes()))
+                            nodes.append(node)
+            yield pd.DataFrame({"key": np.array(keys, dtype=np.int64), "node": np.array(nodes, dtype=np.int64), "n": 1})
 
-    band_rows = distinct.select("fp").mapInPandas(emit, "band string, fp string")
-    stars = band_rows.groupBy("band").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
-    pairs = band_rows.join(stars, "band").where("a < fp").select("a", F.col("fp").alias("b")).distinct()
+    members = materialise(groups.select("fp", "node").mapInPandas(emit, "key long, node long, n int"), "edit-bands")
 
     @F.pandas_udf("double")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)])
 
-    good = materialise(pairs.where(alike("a", "b") >= min_likeness), "edit-links")
-    links = good.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
-    roots = components(good).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    def verified(pairs: DataFrame) -> DataFrame:
+        one, other = (groups.select(F.col("node").alias(c), F.col("fp").alias(f"fp_{c}")) for c in ("a", "b"))
+        return pairs.join(one, "a").join(other, "b").where(alike("fp_a", "fp_b") >= min_likeness).select("a", "b")
+
+    roots = components(linked(members, verified))
+    rooted = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    by_fp = rooted.join(named, "root").join(links, "fp", "left").select("fp", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
-    return fps.join(by_fp, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "class_id", "links")
+    return fps.join(rooted.join(named, "root").select("fp", "class_id", "n_copies"), "fp").select("doc_id", F.col("fp").alias("fingerprint"), "class_id", "n_copies")
+
+
+def hash_of(key: bytes) -> int:
+    """Signed 64-bit hash."""
+    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True)

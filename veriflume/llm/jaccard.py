@@ -23,14 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, need, sendable
-from .components import components
+from .components import components, linked
 from .simhash import SEED, fingerprint, rows_named
 from .simhash import links as ball_links
 
 #: Keeps products such as 0.8 * 5 from being rounded up past a whole number.
 EPS = 1e-9
-#: Rounds of comparisons with one text a shingle, unless before the pairs left are at most ``FEW`` times the rows.
-ROUNDS, FEW = 2, 4
 #: End of the part of the hashes' range that the first pass looks at: 0.35 of it, as a text without near copies
 #: must show there more than 0.2 of its shingles.
 FIRST_END = np.int64(-(1 << 63) + int(0.35 * 2**64))
@@ -94,33 +92,14 @@ def links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Verified pairs ``a, b`` that join the same components as all pairs at least ``least`` alike do.
 
     ``members`` has ``shingle, fp, n``, a row per text and prefix shingle; ``sets`` has ``fp, sim, hashes``. First come
-    the links of :func:`near_in_bits`. In each round all at a shingle are compared
-    with one of them that are not yet in its component. When few pairs are left that meet and lie in different
-    components, or after ``ROUNDS``, all of these are compared.
+    the links of :func:`near_in_bits`, then those of members that meet at a shingle.
     """
-    good = materialise(near_in_bits(sets, least), "ball-links")
-    roots = components(good).withColumnRenamed("node", "fp")
-    placed = materialise(members.join(roots, "fp", "left").select("shingle", "fp", "n", F.coalesce("root", "fp").alias("root")), "placed")
-    possible = F.least("n", "n_a") >= least * F.greatest("n", "n_a") - EPS
-    total = members.count()
-    for i in range(ROUNDS):
-        hubs = placed.groupBy("shingle").agg(F.min_by(F.struct("fp", "n", "root"), F.xxhash64("fp", F.lit(i))).alias("hub"), (F.min("root") != F.max("root")).alias("open"))
-        hubs = hubs.where("open").select("shingle", F.col("hub.fp").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.root").alias("root_a"))
-        pairs = placed.join(hubs, "shingle").where(possible & (F.col("root") != F.col("root_a"))).select("a", F.col("fp").alias("b")).distinct()
-        found = _verified(pairs, sets).where(F.col("sim") >= least - EPS).select("a", "b")
-        good = materialise(good.unionByName(found), "jaccard-links")
-        roots = components(good).withColumnRenamed("node", "fp")
-        placed = materialise(members.join(roots, "fp", "left").select("shingle", "fp", "n", F.coalesce("root", "fp").alias("root")), "placed")
-        sizes = placed.groupBy("shingle", "root").count().groupBy("shingle")
-        ways = sizes.agg((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("ways"))
-        if (ways.agg(F.sum("ways")).first()[0] or 0) <= FEW * total:
-            break
-    mixed = placed.groupBy("shingle").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("shingle")
-    mixed = materialise(placed.join(mixed, "shingle", "left_semi"), "apart")
-    other = mixed.select("shingle", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    pairs = mixed.join(other, "shingle").where(possible & (F.col("a") < F.col("fp")) & (F.col("root") != F.col("root_a"))).select("a", F.col("fp").alias("b")).distinct()
-    found = _verified(pairs, sets).where(F.col("sim") >= least - EPS).select("a", "b")
-    return materialise(good.unionByName(found), "jaccard-links")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, sets).where(F.col("sim") >= least - EPS).select("a", "b")
+
+    meet = members.select(F.col("shingle").alias("key"), F.col("fp").alias("node"), "n")
+    return linked(meet, verified, near_in_bits(sets, least), lambda n, m: F.least(n, m) >= least * F.greatest(n, m) - EPS)
 
 
 def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import materialise, need
 
 CAPACITY = 2048
+#: Groups in which rows of a length are ranked: of at least so many rows, and (beside one per length) at most so many.
+GROUP_ROWS, GROUPS = 64, 65_536
 
 
 def _fullest(counts: np.ndarray, capacity: int) -> dict[int, int]:
@@ -165,21 +167,28 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``; each is used once.
 
-    The rank of a row among those of its length is taken inside small hashed groups of that length, whose sizes are
-    added up before: a length that a third of the rows have is spread over many tasks.
+    The rank of a row among those of its length is taken inside hashed groups of that length, whose sizes are added up
+    before. A length gets groups in proportion to its rows: one that a third of the rows have is spread over many tasks,
+    and there are at most ``capacity + GROUPS`` groups in all, whatever the input. Rows that repeat have a place each;
+    columns of any name stay.
     """
     need(items, "length")
     columns = items.columns
     kept = materialise(items.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("length").cast("int").alias("len"), F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("tie")), "pieces")
-    rows = kept.count()
-    groups = max(1, min(4096, -(-rows // 50_000)))
-    kept = kept.withColumn("grp", F.pmod("tie", F.lit(groups)).cast("int"))
-    sizes = kept.groupBy("len", "grp").agg(F.count("*").alias("n")).toPandas().sort_values(["len", "grp"])  # lengths times groups
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    np.add.at(counts, sizes["len"].to_numpy(dtype=np.int64), sizes["n"].to_numpy(dtype=np.int64))
-    plan = layout(counts, capacity)
-    before = sizes.groupby("len")["n"].cumsum() - sizes["n"]
-    first = {(int(a), int(b)): int(c) for a, b, c in zip(sizes["len"], sizes["grp"], before, strict=True)}
+    for r in kept.groupBy("len").agg(F.count("*").alias("n")).collect():  # at most one row per length
+        counts[r["len"]] = r["n"]
+    rows = int(counts.sum())
+    groups = np.maximum(1, -(-counts // max(GROUP_ROWS, -(-rows // GROUPS))))
+    opens = np.cumsum(groups) - groups  # number of a length's first group
+    numbers = F.array(*[F.lit(int(x)) for x in opens]), F.array(*[F.lit(int(x)) for x in groups])
+    of = lambda k: F.element_at(numbers[k], F.col("len") + 1)
+    kept = kept.withColumn("grp", (of(0) + F.pmod("tie", of(1))).cast("int"))
+    sizes = np.zeros(int(groups.sum()), dtype=np.int64)
+    for r in kept.groupBy("grp").agg(F.count("*").alias("n")).collect():
+        sizes[r["grp"]] = r["n"]
+    before = np.cumsum(sizes) - sizes
+    plan, first = layout(counts, capacity), before - np.repeat(before[opens], groups)
     shared = items.sparkSession.sparkContext.broadcast((plan, first))
 
     def run(batches):
@@ -188,23 +197,22 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         for pdf in batches:
             length, grp = pdf["len"].to_numpy(), pdf["grp"].to_numpy()
             sequence, offset = np.zeros(len(pdf), dtype=np.int64), np.zeros(len(pdf), dtype=np.int64)
-            starts = np.flatnonzero(np.concatenate([[True], (length[1:] != length[:-1]) | (grp[1:] != grp[:-1])])) if len(pdf) else []
+            starts = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1]])) if len(pdf) else []
             for i, j in zip(starts, [*starts[1:], len(pdf)], strict=True):
-                now = int(length[i]), int(grp[i])
-                at = at if now == key else first[now]
-                key = now
+                at = at if grp[i] == key else int(first[grp[i]])
+                key = grp[i]
                 rank = np.arange(at, at + j - i)
                 at += j - i
-                from_, seq, n, place = plan[now[0]]
+                from_, seq, n, place = plan[int(length[i])]
                 k = np.searchsorted(from_, rank, "right") - 1
                 within = rank - from_[k]
                 sequence[i:j] = seq[k] + within // n[k]
-                offset[i:j] = place[k] + within % n[k] * now[0]
+                offset[i:j] = place[k] + within % n[k] * int(length[i])
             yield pd.DataFrame({"row": pdf["row"], "sequence_id": sequence, "offset": offset})
 
-    # number of tasks follows the rows; one (length, group) never lies in two of them
-    tasks = max(1, min(groups * 8, 4096))
-    ordered = kept.repartition(tasks, "len", "grp").sortWithinPartitions("len", "grp", "tie")
+    # number of tasks follows the rows; a group never lies in two of them
+    tasks = max(1, min(20_000, -(-rows // 10_000)))
+    ordered = kept.repartition(tasks, "grp").sortWithinPartitions("grp", "tie")
     schema = f"row {kept.schema['row'].dataType.simpleString()}, sequence_id long, offset long"
     return ordered.mapInPandas(run, schema).select("row.*", "sequence_id", "offset")
 

@@ -102,7 +102,7 @@ def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.001, runs_pe
 
     size: UTF-8 bytes of the text (null: none) plus 1. Shards are near equal in bytes: within ``tolerance`` of the mean
     at each splitter, or one row where rows are coarser. slot counts each shard's rows gaplessly from 0 in key order.
-    Null ids sort first among equal texts. Rows that repeat one id and text share a key, so a splitter cannot part
+    Null ids are spread among equal texts. Rows that repeat one id and text share a key, so a splitter cannot part
     them. grown_shard is null: this law moves rows freely when shards are added.
 
     Every shard is cut into ``runs_per_shard`` runs by the same histogram (0: as many as the input's size asks for), so
@@ -116,7 +116,7 @@ def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.001, runs_pe
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
             F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
-            F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW)).alias("d"),
+            F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.monotonically_increasing_id())).alias("d"),
         ),
         "keys",
     )
@@ -150,10 +150,10 @@ def shards(docs: DataFrame, n_shards: int = 8, tolerance: float = 0.001, runs_pe
                 offset[i:] = np.arange(len(r) - i)
             if len(r):
                 run, at = int(r[-1]), int(offset[-1]) + 1
-            yield pd.DataFrame(
-                {"doc_id": pdf.doc_id, "size": pdf["size"], "text_crc32": pdf.text_crc32, "law": "bytes", "shard": [shard_of[x] for x in r], "slot": offset + np.array([start[x] for x in r], dtype=np.int64), "grown_shard": pd.Series([None] * len(r), dtype="Int32")}
-            )
+            slot = offset + np.array([start[x] for x in r], dtype=np.int64)
+            found = {"doc_id": pdf.doc_id, "size": pdf["size"], "text_crc32": pdf.text_crc32, "law": "bytes", "shard": [shard_of[x] for x in r], "slot": slot}
+            yield pd.DataFrame(found | {"grown_shard": pd.Series([None] * len(r), dtype="Int32")})
 
-    ordered = placed.repartition(max(1, len(fine) + 1), "run").sortWithinPartitions("run", "h", "d", "size")
+    ordered = placed.repartitionById(max(1, len(fine) + 1), "run").sortWithinPartitions("run", "h", "d", "size")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return ordered.mapInPandas(slots, f"doc_id {id_type}, size long, text_crc32 long, law string, shard int, slot long, grown_shard int")

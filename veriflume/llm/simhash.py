@@ -20,6 +20,8 @@ from .components import components
 
 SEED = 42
 BITS = 64
+#: Fingerprints whose balls one task emits.
+BALL_ROWS = 8192
 #: Shingles whose bits are counted at once.
 BLOCK = 1 << 16
 
@@ -74,8 +76,9 @@ def links(distinct_fps: DataFrame, distance: int = 2) -> DataFrame:
     ball's size) and verified.
     """
     radius = (distance + 1) // 2
+    tasks = max(1, min(20_000, -(-distinct_fps.count() // BALL_ROWS)))  # a few bytes a row would all be read by one
     near = (
-        distinct_fps.select("fp", F.explode(F.array(*[F.lit(m) for m in ball_masks(radius)])).alias("mask"))
+        distinct_fps.select("fp").repartition(tasks, "fp").select("fp", F.explode(F.array(*[F.lit(m) for m in ball_masks(radius)])).alias("mask"))
         .select("fp", F.expr("fp ^ mask").alias("meet"))
         .groupBy("meet")
         .agg(F.collect_list("fp").alias("fps"))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, need, scratch_path
+from .common import materialise, need, scratch_path, sendable
 
 INDEX = "file string, offset long, length long, url string, digest string, record_type string"
 #: Gap between records that is read over, and the most that one read asks for (unless one record is longer).
@@ -25,6 +25,8 @@ GAP, WINDOW = 64 << 10, 8 << 20
 #: Bytes of an archive that one task reads.
 STRETCH = 64 << 20
 MIN_REVISIT = 1000
+#: Most repeated digests that are sent to every task, and bytes of payloads that a reader holds before it hands them on.
+SENT_DIGESTS, HELD = 200_000, 16 << 20
 
 
 def _fs(path: str):
@@ -81,16 +83,18 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """``page_id, url, html, digest, n_bytes, record_type, refers_to``.
 
     Of equal payloads of at least ``min_bytes`` the largest page_id is the response. Null html is empty. Rows with a
-    null page_id, and rows repeating the response's id, are responses. Only digests that occur twice or more are
-    joined; what groups them is a count and a maximum, so a page that a third of the rows repeat costs no more.
+    null page_id, and rows repeating the response's id, are responses; other columns don't matter. Small payloads go past
+    the join. Large ones meet the digests that occur twice or more, found by counts and maxima; pages move to these
+    only if they are too many to send to every task.
     """
     need(pages, "page_id", "url", "html")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("n_bytes", F.octet_length("html").cast("long")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     large = rows.where(F.col("n_bytes") >= min_bytes)
     groups = large.groupBy("digest").agg(F.max("page_id").alias("largest"), F.count("*").alias("copies")).where("copies > 1").select("digest", "largest")
-    joined = rows.join(groups, "digest", "left")
-    revisit = F.coalesce((F.col("n_bytes") >= min_bytes) & (F.col("page_id") < F.col("largest")), F.lit(False))
+    small = rows.where(F.col("n_bytes") < min_bytes).withColumn("largest", F.lit(None).cast(pages.schema["page_id"].dataType))
+    joined = small.unionByName(large.join(sendable(materialise(groups, "repeated-pages"), SENT_DIGESTS), "digest", "left"))
+    revisit = F.coalesce(F.col("page_id") < F.col("largest"), F.lit(False))
     return joined.select("page_id", "url", "html", "digest", "n_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("largest")).alias("refers_to"))
 
 
@@ -134,17 +138,24 @@ def ranges(places: list[tuple[int, int]], gap: int = GAP, window: int = WINDOW)
     return [tuple(x) for x in out]
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
+def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """``page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload`` of the index rows given.
 
     Filter the index first (URL, digest, type): only the byte ranges of its rows are read. A stretch of 64 MB of a file
-    goes to one task, so that a large archive is read by many.
+    goes to one task, so that a large archive is read by many. ``payloads`` set to false checks them and leaves them.
     """
+    names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=names)
+        for c in ("page_id", "refers_to"):
+            out[c] = pd.array([None if x is None else int(x) for x in out[c]], dtype="Int64")
+        return out
 
     def run(batches):
         fs, base = _fs(folder)
+        rows, held = [], 0
         for pdf in batches:
-            rows = []
             for file, part in pdf.groupby("file", sort=False):
                 places = list(zip(part["offset"].tolist(), part["length"].tolist(), strict=True))
                 with fs.open_input_file(f"{base}/{file}") as f:
@@ -155,12 +166,15 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                         for o, size in places[k : k + n]:
                             got = parse(data[o - offset : o - offset + size])
                             h = got["fields"]
-                            rows.append((h.get("X-Key"), h.get("WARC-Target-URI"), h["WARC-Type"], h.get("WARC-Refers-To-Key"), h["WARC-Payload-Digest"].removeprefix("sha1:"), int(got["http"]["Content-Length"]), got["payload"]))
+                            digest, n_bytes = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(got["http"]["Content-Length"])
+                            payload = got["payload"] if payloads else None
+                            rows.append((h.get("X-Key"), h.get("WARC-Target-URI"), h["WARC-Type"], h.get("WARC-Refers-To-Key"), digest, n_bytes, payload))
+                            held += len(rows[-1][-1] or b"") + 200
                         k += n
-            out = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"])
-            for c in ("page_id", "refers_to"):
-                out[c] = pd.array([None if x is None else int(x) for x in out[c]], dtype="Int64")
-            yield out
+                        if held > HELD:
+                            yield frame(rows)
+                            rows, held = [], 0
+        yield frame(rows)
 
     places = index.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / STRETCH))
     # the index is small however much it stands for, so adaptive execution would have one task read all
@@ -173,4 +187,4 @@ def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """Write the pages, read all records back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     folder = scratch_path(pages.sparkSession, "warc")
     index = write_archives(with_revisits(pages, min_bytes), folder)
-    return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(index, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
