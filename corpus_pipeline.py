@@ -1,4 +1,9 @@
-"""A corpus pipeline of four stages; each is written as Parquet and reread as the next one's documents."""
+"""A corpus pipeline of four stages; each is written as Parquet and reread as the next one's documents.
+
+Every stage works on all rows it gets. Columns of other names pass through the first three. Rows with a null id pass as
+rows of their own; an empty table stays empty. Null, empty and letterless texts go in the language stage; where rows
+repeat an id, the near-copy stage keeps one of them.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,10 @@ from veriflume.llm.queries import tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages learned from the labelled ones; what looks like none of them goes."""
+    """Documents in one of the languages learned from the labelled ones.
+
+    What has no letters, or scores under the threshold that 0.998 of rightly named calibration texts reach, goes.
+    """
     judged, name = langid.with_language(docs, langid.fit_documents(docs))
     return judged.where(~F.col(f"{name}.rejected")).drop(name)
 
@@ -23,7 +31,11 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose texts link (5-word shingles, Jaccard 0.8 or more); the smallest doc_id stays."""
+    """One document of each group whose texts link; the smallest doc_id stays.
+
+    SimHash fingerprints of 5-word shingles that meet within two bits, then an exact set join for pairs further apart in
+    bits; either way a link is a Jaccard similarity of 0.8 or more on whole texts.
+    """
     return jaccard.representatives(docs, width=5, least=0.8)
 
 
