@@ -368,7 +368,7 @@ def test_lm_scores_copies_apart(spark):
     d = docs(spark).select("doc_id", "text")
     words = "' '"
     once = d.where("length(text) between 600 and 5000").orderBy("doc_id").limit(12).selectExpr("doc_id + 100000 AS doc_id", f"array_join(shuffle(split(text, {words}), 7), {words}) AS text")
-    got = lm.score_documents(d.unionByName(once).unionByName(once.selectExpr("doc_id + 1000", "text")), lm.training_rows(F.col("doc_id"))).toPandas()
+    got = lm.score_documents(d.unionByName(once).unionByName(once.selectExpr("doc_id + 1000 AS doc_id", "text")), lm.training_rows(F.col("doc_id"))).toPandas()
     twice = got[got.doc_id >= 100_000].bits_per_byte
     assert twice.median() < 0.5 * got[got.doc_id < 100_000].bits_per_byte.median()
 
