@@ -26,6 +26,10 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Rows that a Python worker gets at once while a table is written.
+BATCH_ROWS = 1000
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/veriflume/{spark.sparkContext.applicationId}"
 
@@ -36,9 +40,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)  # rows are whole texts
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -35,7 +35,7 @@ FIRST_END = np.int64(-(1 << 63) + int(0.35 * 2**64))
 
 
 #: Rows whose shingles a worker holds before it hands them on.
-HELD = 1000
+HELD = 500
 
 
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
