@@ -172,12 +172,12 @@ def _asked(spark, sf_dir, units: DataFrame) -> DataFrame:
 ASKED = "s AS (SELECT sha256(text) AS sha, min(doc_id) AS doc_id, any_value(text) AS text FROM documents GROUP BY 1), q AS (SELECT conv_id * 100 + turn AS query_id, sha, c.text AS quote FROM conversations c JOIN s ON c.conv_id = s.doc_id)"
 
 
-def bm25_sql(tokens: str, quote: str = "quote") -> str:
-    """SQL of the scores, tokens made by ``tokens`` of a sentence and of ``quote``."""
+def bm25_sql(tokens: str, quote: str = "quote", units: str = "") -> str:
+    """SQL of the scores, tokens made by ``tokens`` of a unit (by default a sentence) and of ``quote``."""
+    units = units or f"l AS (SELECT sha, {SENTS.format(c='text')} AS sents FROM s), u AS (SELECT sha, unnest(sents) AS sent, generate_subscripts(sents, 1) - 1 AS unit_idx FROM l)"
     sent, asked = tokens.format(c="sent"), tokens.format(c=quote)
     return (
-        f"WITH {ASKED}, l AS (SELECT sha, {SENTS.format(c='text')} AS sents FROM s), "
-        "u AS (SELECT sha, unnest(sents) AS sent, generate_subscripts(sents, 1) - 1 AS unit_idx FROM l), "
+        f"WITH {ASKED}, {units}, "
         f"k AS (SELECT sha, unit_idx, CASE WHEN len({sent}) > 0 THEN {sent} ELSE [''] END AS tk FROM u), "
         "x AS (SELECT sha, unit_idx, len(tk) AS dl, unnest(tk) AS term FROM k), "
         "po AS (SELECT sha, unit_idx, dl, term, count(*) AS tf FROM x GROUP BY ALL), "
@@ -385,24 +385,37 @@ _INTENT = """CASE WHEN q = '' THEN 'empty' WHEN regexp_matches(q, '(?i)^(?:table
     vr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, pos) AS place FROM vs),
     vb AS (SELECT query_id, candidate, "start", "end", c, {GRAMS.format(c="q")} AS ga, {GRAMS.format(c="candidate")} AS gb, CASE WHEN length(q) >= 12 AND contains(candidate, substr(q, 1, 12)) THEN 0.02 ELSE 0.0 END AS bonus FROM vr WHERE place = 1),
     vj AS (SELECT *, CASE WHEN len(ga) + len(gb) = 0 THEN 0.0 ELSE len(list_intersect(ga, gb)) / len(list_distinct(list_concat(ga, gb))) END AS j FROM vb),
-    va AS (SELECT query_id, pos AS alt, c AS altc FROM vr WHERE place = 2), top AS (SELECT query_id, max(score) AS bm25 FROM rk WHERE bm25_rank < 20 GROUP BY 1),
-    vd AS (SELECT qi.*, vj.*, alt, altc, bm25, c + bonus >= CASE WHEN length(q) < 60 THEN 0.84 WHEN length(q) > 200 THEN 0.78 ELSE 0.82 END AS cos_ok, contains(candidate, q) AS inside, j >= 0.65 AS jac_ok
-      FROM qi LEFT JOIN vj USING (query_id) LEFT JOIN va USING (query_id) LEFT JOIN top USING (query_id)),
-    ve AS (SELECT *, coalesce(cos_ok OR inside OR jac_ok, false) AS hit, candidate IS NOT NULL AS found FROM vd)
-    SELECT query_id, sha, hit, CASE WHEN intent IN ('empty', 'non_verifiable') THEN intent WHEN sha NOT IN (SELECT sha FROM l WHERE len(sents) > 0) THEN 'no_text_index' WHEN NOT found THEN 'no_candidates'
-        WHEN hit AND inside THEN 'exact_or_near_exact' WHEN hit AND jac_ok AND NOT cos_ok THEN 'weak_match' WHEN hit THEN 'semantic_match' WHEN intent = 'hint' THEN 'non_textual_reference' ELSE 'no_match' END AS verification_class,
-      candidate, "start", "end", round(c, 6) AS cosine, round(j, 6) AS jaccard5, bonus, CASE WHEN found THEN round(bm25, 6) END AS bm25, CASE WHEN NOT hit THEN alt END AS alt_idx, CASE WHEN NOT hit THEN round(altc, 6) END AS alt_cosine FROM ve"""
+    top AS (SELECT query_id, max(score) AS bm25 FROM rk WHERE bm25_rank < 20 GROUP BY 1)
+    SELECT qi.query_id, sha, CASE WHEN intent IN ('empty', 'non_verifiable') THEN intent WHEN sha NOT IN (SELECT sha FROM l WHERE len(sents) > 0) THEN 'no_text_index' WHEN candidate IS NULL THEN 'no_candidates' ELSE 'judged' END AS outcome,
+      candidate, "start", "end", round(c, 6) AS cosine, round(j, 6) AS jaccard5, bonus, CASE WHEN candidate IS NOT NULL THEN round(bm25, 6) END AS bm25,
+      CASE WHEN candidate IS NULL THEN NULL WHEN length(q) < 60 THEN 0.84 WHEN length(q) > 200 THEN 0.78 ELSE 0.82 END AS cos_thresh_used FROM qi LEFT JOIN vj USING (query_id) LEFT JOIN top USING (query_id)"""
 )
 def quote_verify_full(spark, sf_dir):
-    """Every column but the fuzzy ratio, which SQL lacks: a quote that its best candidate contains has 100, and on these
-    tables no other reaches a threshold (``tests`` cover those that do)."""
+    """All evidence but the fuzzy ratio and the verdict that hangs on it, which SQL lacks (tests cover these)."""
     e = _evidence(spark, sf_dir)
-    return e.select("query_id", "sha", "hit", "verification_class", "candidate", F.col("span.start").alias("start"), F.col("span.end").alias("end"), r6("cosine", "cosine"), r6("jaccard5", "jaccard5"), "bonus", r6("bm25", "bm25"), "alt_idx", r6("alt_cosine", "alt_cosine"))
+    early = F.col("verification_class").isin("empty", "non_verifiable", "no_text_index", "no_candidates")
+    outcome = F.when(early, F.col("verification_class")).otherwise("judged")
+    return e.select(
+        "query_id", "sha", outcome.alias("outcome"), "candidate", F.col("span.start").alias("start"), F.col("span.end").alias("end"), r6("cosine", "cosine"),
+        r6("jaccard5", "jaccard5"), "bonus", r6("bm25", "bm25"), "cos_thresh_used",
+    )
 
 
-@query()
+@query(
+    f"WITH v AS ({ORACLE_SQL['quote_verify_full']}) SELECT 'g' || (query_id % 7) AS \"group\", 'Group_g' || (query_id % 7) || '_supplemental_information.json' AS filename, "
+    "count(*) AS total, count(DISTINCT sha) AS sources, true AS sums_agree FROM v GROUP BY query_id % 7"
+)
 def verification_report_json(spark, sf_dir):
-    return verify.group_report(_evidence(spark, sf_dir))
+    """The reports' JSON, read back: totals, and whether hits, misses, classes and listed misses add up to them."""
+    made = verify.group_report(_evidence(spark, sf_dir))
+    source = "struct<source_filename:string,hits:bigint,misses:bigint,misses_detail:array<struct<query_id:bigint>>,by_class:map<string,bigint>>"
+    r = made.withColumn("r", F.from_json("report", f"success_ratio double, total bigint, hits bigint, misses bigint, by_source array<{source}>"))
+    total = lambda f: F.aggregate(F.transform("r.by_source", f), F.lit(0).cast("bigint"), lambda x, y: x + y)
+    listed = total(lambda s: F.size(s["misses_detail"]).cast("bigint"))
+    classes = total(lambda s: F.aggregate(F.map_values(s["by_class"]), F.lit(0).cast("bigint"), lambda x, y: x + y))
+    agree = (F.col("r.hits") + F.col("r.misses") == F.col("r.total")) & (listed == F.col("r.misses")) & (classes == F.col("r.total"))
+    ratio = F.col("r.success_ratio") == F.bround(F.col("r.hits") / F.col("r.total"), 4)
+    return r.select("group", "filename", "r.total", F.size("r.by_source").cast("bigint").alias("sources"), (agree & ratio).alias("sums_agree"))
 
 
 def _judged(spark, sf_dir) -> DataFrame:
@@ -537,13 +550,38 @@ def report_json(spark, sf_dir):
     return _cands(spark, sf_dir).groupBy("group_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("doc_id", "recommend_nli")))).alias("report"))
 
 
-@query()
+_WINDOWS = (
+    f"l AS (SELECT sha, {ABBREV_SENTS} AS sents FROM s), "
+    "u AS (SELECT sha, unit_idx, array_to_string(list_slice(sents, unit_idx + 1, unit_idx + 2), ' ') AS sent "
+    "FROM (SELECT sha, sents, unnest(range(0, greatest(len(sents) - 2, 0) + 1)) AS unit_idx FROM l WHERE len(sents) > 0))"
+)
+_CLAIM = r"trim(regexp_replace(quote, '\s+', ' ', 'g'))"
+
+
+@query(
+    bm25_sql(TOKENS, _CLAIM, _WINDOWS) + RANKED + f", tc AS (SELECT query_id, sha, unit_idx, score, bm25_rank, sent, list_distinct({TOKENS.format(c=_CLAIM)}) AS ta, list_distinct({TOKENS.format(c='sent')}) AS tb "
+    f"FROM rk JOIN u USING (sha, unit_idx) JOIN q USING (query_id, sha) WHERE bm25_rank < 30 AND length({_CLAIM}) >= 20), "
+    "ts AS (SELECT *, CASE WHEN len(ta) * len(tb) > 0 THEN len(list_intersect(ta, tb)) / sqrt(CAST(len(ta) AS DOUBLE) * len(tb)) ELSE 0.0 END AS c FROM tc), "
+    "tr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, bm25_rank) - 1 AS embed_rank FROM ts), "
+    r"tg AS (SELECT *, trim(regexp_replace(lower(sent), '\s+', ' ', 'g')) AS t FROM tr WHERE embed_rank < 10 AND c >= 0.25), "
+    f"tv AS (SELECT *, {WORDS.format(t='t')} AS w FROM tg), "
+    f"th AS (SELECT *, {_word_count('and', 'that')} AS contrast_hits, {_word_count('the', 'of')} AS limitation_hits, {MARK.format(t='t')} + {_word_count('with')} AS negation_hits FROM tv) "
+    "SELECT sha256('c|g' || (query_id % 5) || '|' || query_id || '|' || sha || '|' || sent || '|' || embed_rank) AS candidate_id, 'g' || (query_id % 5) AS group_id, query_id AS row_id, sent AS candidate_window, "
+    "CAST(bm25_rank AS INTEGER) AS bm25_rank, round(score, 6) AS bm25_score, CAST(embed_rank AS INTEGER) AS embed_rank, round(c, 6) AS embed_cosine, contrast_hits, limitation_hits, negation_hits, "
+    "contrast_hits > 0 OR limitation_hits >= 2 OR negation_hits >= 1 AS recommend_nli FROM th"
+)
 def triage_candidates(spark, sf_dir):
-    """The whole candidate stage over turns that cite the document of their number."""
-    asked = _asked(spark, sf_dir, None)
-    pairs = asked.select(F.lit("c").alias("cohort_id"), F.concat(F.lit("g"), F.pmod("query_id", F.lit(5)).cast("string")).alias("group_id"), F.col("query_id").alias("row_id"), F.col("sha").alias("source_sha256"), F.lit(None).cast("string").alias("resolved_source_path"), F.col("quote").alias("quote_from_report"), F.col("quote").alias("quote_from_source"))
+    """The whole candidate stage over turns that cite the document of their number; every column but the fuzzy ratio,
+    which SQL lacks."""
+    asked, group = _asked(spark, sf_dir, None), F.concat(F.lit("g"), F.pmod("query_id", F.lit(5)).cast("string"))
+    pairs = asked.select(
+        F.lit("c").alias("cohort_id"), group.alias("group_id"), F.col("query_id").alias("row_id"), F.col("sha").alias("source_sha256"),
+        F.lit(None).cast("string").alias("resolved_source_path"), F.col("quote").alias("quote_from_report"), F.col("quote").alias("quote_from_source"),
+    )
     texts = files(spark, sf_dir).groupBy(F.col("source_sha256").alias("sha")).agg(F.first("text").alias("text"))
-    return triage.candidates(pairs, texts, CUES)
+    c = triage.candidates(pairs, texts, CUES)
+    hits = ["contrast_hits", "limitation_hits", "negation_hits", "recommend_nli"]
+    return c.select("candidate_id", "group_id", "row_id", "candidate_window", "bm25_rank", r6("bm25_score", "bm25_score"), "embed_rank", r6("embed_cosine", "embed_cosine"), *hits)
 
 
 def _merged(spark, sf_dir) -> DataFrame:

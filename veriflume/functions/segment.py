@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,11 +29,16 @@ def sentence_count(c: Column) -> Column:
     return F.size(F.filter(F.transform(parts, strip), lambda s: s != ""))
 
 
+def _abbreviation_stops() -> str:
+    """Pattern of the full stops of abbreviations: the stop first, so that only stops look round themselves."""
+    places = [(a[: i + 1], a[i + 1 :]) for a in ABBREVIATIONS for i, ch in enumerate(a) if ch == "."]
+    ways = [f"(?<={re.escape(before)})" + (f"(?={re.escape(after)})" if after else "") for before, after in places]
+    return rf"\.(?:{'|'.join(ways)})"
+
+
 def sentences_abbrev(c: Column) -> Column:
     """Cut behind every ``. ? !`` but those of abbreviations and initials."""
-    t = squeeze(c)
-    for a in ABBREVIATIONS:
-        t = F.replace(t, F.lit(a), F.lit(a.replace(".", HOLD)))
+    t = F.regexp_replace(squeeze(c), _abbreviation_stops(), HOLD)
     t = F.regexp_replace(t, INITIAL, "$1" + HOLD + " ")
     parts = F.split(t, r"(?<=[.!?])\s+")
     return F.filter(F.transform(parts, lambda s: squeeze(F.replace(s, F.lit(HOLD), F.lit(".")))), lambda s: s != "")

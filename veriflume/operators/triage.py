@@ -88,11 +88,17 @@ def teacher_view(cands: DataFrame, n: int = 3) -> DataFrame:
     order = [F.desc("recommend_nli"), F.desc("embed_cosine"), F.desc("bm25_score"), F.asc("candidate_id")]
     top = top_per_group(cands, ["group_id", "row_id"], order, n)
     short = {"quote_from_report": 240, "quote_from_source": 240, "candidate_window": 320}
-    return top.select("group_id", "row_id", *[shorten(F.col(c), k).alias(c) for c, k in short.items()], "recommend_nli", "embed_cosine", "bm25_score", "contrast_hits", "limitation_hits", "negation_hits", "fuzzy_to_cited_quote", "candidate_id", "source_sha256", "source_path", "cohort_id")
+    return top.select(
+        "group_id", "row_id", *[shorten(F.col(c), k).alias(c) for c, k in short.items()], "recommend_nli", "embed_cosine", "bm25_score",
+        "contrast_hits", "limitation_hits", "negation_hits", "fuzzy_to_cited_quote", "candidate_id", "source_sha256", "source_path", "cohort_id",
+    )
 
 
 def nested_report(cands: DataFrame) -> DataFrame:
     """``group_id, report``: JSON of rows with their claims and windows, in order of rank."""
     window = F.struct("embed_rank", "candidate_id", "candidate_window", "bm25_rank", "bm25_score", "embed_cosine", "contrast_hits", "limitation_hits", "negation_hits", "fuzzy_to_cited_quote", "recommend_nli")
-    rows = cands.groupBy("group_id", "row_id").agg(F.first("query_text").alias("claim"), F.first("quote_from_source").alias("cited"), F.first("source_sha256").alias("source_sha256"), F.array_sort(F.collect_list(window)).alias("candidates"))
+    rows = cands.groupBy("group_id", "row_id").agg(
+        F.first("query_text").alias("claim"), F.first("quote_from_source").alias("cited"), F.first("source_sha256").alias("source_sha256"),
+        F.array_sort(F.collect_list(window)).alias("candidates"),
+    )
     return rows.groupBy("group_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("row_id", "claim", "cited", "source_sha256", "candidates")))).alias("report"))

@@ -111,7 +111,17 @@ def group_report(evidence: DataFrame, cfg: VerifyConfig = VerifyConfig()) -> Dat
     sources = by_source(evidence)
     listed = F.array_sort(F.collect_list(F.struct(F.lower("source_filename").alias("k"), "source_filename", "hits", "misses", F.to_json("misses_detail").alias("d"), F.to_json("by_class").alias("c"))))
     per_group = sources.groupBy(F.col("group_id").alias("group")).agg(listed.alias("s"))
-    body = F.transform("s", lambda x: F.concat(F.lit('{"source_filename":'), F.to_json(F.array(x["source_filename"])).substr(F.lit(2), F.length(F.to_json(F.array(x["source_filename"]))) - 2), F.lit(',"hits":'), x["hits"].cast("string"), F.lit(',"misses":'), x["misses"].cast("string"), F.lit(',"misses_detail":'), F.coalesce(x["d"], F.lit("[]")), F.lit(',"by_class":'), x["c"], F.lit("}")))
+
+
+    def one(x: Column) -> Column:
+        name = F.to_json(F.array(x["source_filename"]))  # the name as JSON, in brackets that go
+        parts = [
+            ("source_filename", name.substr(F.lit(2), F.length(name) - 2)), ("hits", x["hits"].cast("string")), ("misses", x["misses"].cast("string")),
+            ("misses_detail", F.coalesce(x["d"], F.lit("[]"))), ("by_class", x["c"]),
+        ]
+        return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in parts]), F.lit("}"))
+
+    body = F.transform("s", one)
     head = F.to_json(F.struct("group", "success_ratio", "total", "hits", "misses"))
     params = F.to_json(F.struct(F.lit(cfg.encoder).alias("encoder"), F.lit(cfg.bm25_topk).alias("bm25_topk"), F.lit(cfg.cos_thresh).alias("cos_thresh"), F.lit(cfg.fuzzy_thresh).alias("fuzzy_thresh")))
     report = F.concat(F.substring(head, 1, 1), F.expr("substring(head, 2, length(head) - 2)"), F.lit(',"by_source":['), F.array_join(body, ","), F.lit('],"params":'), params, F.lit("}"))

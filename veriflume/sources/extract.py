@@ -242,7 +242,11 @@ def extract_documents(files: DataFrame, tools: Extractors = Extractors()) -> Dat
     base = files.select("path", F.sha2("content", 256).alias("source_sha256"), ext.alias("canonical_ext"), F.length("content").cast("long").alias("bytes"), "content")
     plain = base.where(F.col("canonical_ext").isin(".txt", ".md", ".rst"))
     text = F.nullif(whitespace_normal(valid_utf8(F.col("content"))), F.lit(""))
-    plain = plain.select("path", "source_sha256", "canonical_ext", "bytes", text.alias("text"), F.lit(None).cast("string").alias("tei_xml"), F.lit("text").alias("extract_tool"), F.lit(False).alias("ocr_used"), text.isNotNull().alias("extract_ok"), F.lit(None).cast("string").alias("extract_error"), F.lit(0.0).alias("seconds"))
+    none = F.lit(None).cast("string")
+    plain = plain.select(
+        "path", "source_sha256", "canonical_ext", "bytes", text.alias("text"), none.alias("tei_xml"), F.lit("text").alias("extract_tool"),
+        F.lit(False).alias("ocr_used"), text.isNotNull().alias("extract_ok"), none.alias("extract_error"), F.lit(0.0).alias("seconds"),
+    )
 
     def one(path: str, ext_: str, data: bytes, limiter: RateLimiter):
         start, tei, ocr = time.monotonic(), None, False
