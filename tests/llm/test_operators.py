@@ -669,6 +669,30 @@ def test_near_copies_brute_force(spark, odd, none):
     assert jaccard.near_copies(none).count() == 0
 
 
+def test_near_copies_of_one_text_cost_no_square(spark, monkeypatch):
+    """Many edited forms of one text, of which few are alike: no more pairs meet, verified or not, than members."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    base, texts = [word() for _ in range(150)], []
+    for _ in range(300):
+        own = list(base)
+        for i in rng.choice(150, rng.integers(0, 7), replace=False):
+            own[i] = word()
+        texts.append(" ".join(own))
+    sets = [set(jaccard.shingle_set(t).tolist()) for t in texts]
+    alike = [(i, j) for i, j in combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = list(range(len(texts)))
+    for i, j in alike:
+        a, b = sorted((root[i], root[j]))
+        root = [a if r == b else r for r in root]
+    assert 0.1 < len(alike) / math.comb(len(texts), 2) < 0.9 and len(set(root)) > 10
+    asked, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, of: asked.append(pairs.count()) or verified(pairs, of))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.near_copies(d).collect()} == dict(enumerate(root))
+    assert sum(asked) <= 10 * len(texts), asked
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -9,7 +9,8 @@ Of a set of n shingles one that is at least t alike lacks at most n - ceil(t * n
 one part of the hashes' range, the same for all texts: a text that has more than so many there that no other text has
 links with nothing and drops out. Of the others all shingles are ordered by how many texts have them; whatever
 the order, two that are alike share one of their first n - ceil(t * n) + 1, so they meet at these, and every link is
-verified on the whole sets. Nothing is sampled or capped.
+verified on the whole sets. At the first one that a pair shares, what either has from there on holds all that they have in
+common, so pairs of which one has too little left there are not compared at it. Nothing is sampled or capped.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .simhash import links as ball_links
 
 #: Keeps products such as 0.8 * 5 from being rounded up past a whole number.
 EPS = 1e-9
+#: The same for counts of shingles.
+SLACK = 1e-6
 #: End of the part of the hashes' range that the first pass looks at: 0.35 of it, as a text without near copies
 #: must show there more than 0.2 of its shingles.
 FIRST_END = np.int64(-(1 << 63) + int(0.35 * 2**64))
@@ -91,15 +94,28 @@ def near_in_bits(sets: DataFrame, least: float) -> DataFrame:
 def links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Verified pairs ``a, b`` that join the same components as all pairs at least ``least`` alike do.
 
-    ``members`` has ``shingle, fp, n``, a row per text and prefix shingle; ``sets`` has ``fp, sim, hashes``. First come
-    the links of :func:`near_in_bits`, then those of members that meet at a shingle.
+    ``members`` has ``shingle, fp, n, pos``, a row per text and prefix shingle, ``pos`` how many of the text's shingles
+    come before it in the one order of all; ``sets`` has ``fp, sim, hashes``. First come the links of
+    :func:`near_in_bits`, then those of members that meet at a shingle.
     """
+    share = least / (1 + least)  # of the two sizes: what a pair as alike as that has in common at least
+
+    def possible(n, pos, m, pos_m):
+        """At the first shingle that both have, no more is common than either has from there on."""
+        n, pos, m, pos_m = map(F.col, (n, pos, m, pos_m))
+        sizes = F.least(n, m) >= least * F.greatest(n, m) - EPS
+        return sizes & (F.least(n - pos, m - pos_m) >= share * (n + m) - SLACK)
+
+    def able(n, pos, smallest):
+        """The partner that asks least is the smallest, or one as small as a partner may be, at its first shingle."""
+        n, pos = F.col(n), F.col(pos)
+        return n - pos >= share * (n + F.greatest(F.col(smallest).cast("double"), least * n)) - SLACK
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, sets).where(F.col("sim") >= least - EPS).select("a", "b")
 
-    meet = members.select(F.col("shingle").alias("key"), F.col("fp").alias("node"), "n")
-    return linked(meet, verified, near_in_bits(sets, least), lambda n, m: F.least(n, m) >= least * F.greatest(n, m) - EPS)
+    meet = members.select(F.col("shingle").alias("key"), F.col("fp").alias("node"), "n", "pos")
+    return linked(meet, verified, near_in_bits(sets, least), possible, able)
 
 
 def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
@@ -155,7 +171,8 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     # of n shingles the n - m that no other text has come first; the others by how many have them
     ranked = each.join(had, "shingle").groupBy("fp", "n").agg(F.sort_array(F.collect_list(F.struct("had", "shingle"))).alias("own"))
     ranked = ranked.withColumn("take", F.size("own") - F.ceil(F.col("n") * least - EPS) + 1).where("take > 0")
-    members = materialise(ranked.select("fp", "n", F.explode(F.slice("own", 1, F.col("take").cast("int"))).alias("s")).select(F.col("s.shingle").alias("shingle"), "fp", "n"), "prefixes")
+    taken = ranked.select("fp", "n", (F.col("n") - F.size("own")).alias("alone"), F.posexplode(F.slice("own", 1, F.col("take").cast("int"))).alias("at", "s"))
+    members = materialise(taken.select(F.col("s.shingle").alias("shingle"), "fp", "n", (F.col("alone") + F.col("at")).alias("pos")), "prefixes")
 
     names = named_sets.select("row", "fp")
     roots = components(links(members, sets, least)).join(names, F.col("node") == F.col("row")).select("fp", F.col("root").alias("root_row"))
