@@ -335,6 +335,37 @@ def test_lm_learns_order():
     assert cost() < 0.95 * before
 
 
+def test_lm_learns_from_every_training_row(spark):
+    """Weights follow from all training rows, so no row counts for more by its id."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(w.decode() for w in t) for t in lm_corpus(rng, 600)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = F.col("doc_id") % 10 != 0
+    one = {r.doc_id: r.score for r in lm.score_documents(d, held).collect()}
+    other = {r.doc_id - 7000: r.score for r in lm.score_documents(d.selectExpr("doc_id + 7000 AS doc_id", "text"), held).collect()}
+    assert other == pytest.approx(one, rel=1e-6)
+
+
+def test_lm_leaves_out_what_it_forecasts():
+    """Outcomes by the counts less one occurrence are those by tables that lack it."""
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.permutation(list(b"abcdefgh"))[: rng.integers(1, 8)]) for _ in range(60)]
+    words = [*dict.fromkeys(words), b"\n"]
+    times = rng.integers(1, 6, len(words))
+    cells = [np.zeros(2 << b, dtype=np.float32) for b in lm.TABLE_BITS]
+    lm.add_words(cells, words, times, times >= 2)
+    got, want = np.zeros(lm.OUTCOMES), np.zeros(lm.OUTCOMES)
+    lm.add_left_out(got, cells, words, times, times >= 2)
+    for w, n in zip(words, times, strict=True):
+        lm.add_words(cells, [w], -np.ones(1), np.array([n >= 2]))
+        s = lm.Spelling.of([w])
+        x, gate = lm.Mixer(cells).inputs(s)
+        lm.add_outcomes(want, x, gate, lm.BITS[s.data].ravel(), np.full(len(gate), n))
+        lm.add_words(cells, [w], np.ones(1), np.array([n >= 2]))
+    assert got.sum() == sum(8 * n * len(lm.spelled(w)) for w, n in zip(words, times, strict=True))
+    assert np.abs(got - want).sum() <= 0.02 * got.sum()
+
+
 def test_lm_match_model(spark):
     """Forecasts by the most frequent stretch in the other training texts, against dictionaries."""
     rng = np.random.default_rng(8)
