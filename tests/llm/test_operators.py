@@ -335,6 +335,19 @@ def test_lm_learns_order():
     assert cost() < 0.95 * before
 
 
+def test_lm_counts_the_words_it_scores(spark):
+    """Words counted in Arrow are those of the tokens, whatever lies between them, in slices too."""
+    import pyarrow as pa
+
+    texts = ["", None, "  A bÀ ", "\x1c\x1d\x85À\u00a0É x y \x0b\x0c\x00Z\r", "\t", "İı ẞ\u2003x" * 3, "Ab aB"]
+    want = [[w.decode() for w in lm.tokens(t)] for t in texts]
+    for at in range(len(texts)):
+        assert lm.split(pa.array(texts)[at:]).to_pylist() == [w for t in want[at:] for w in t]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r.word: r.n for r in lm.count_words(d).collect()} == Counter([*(w for t in want for w in t), *["\n"] * len(texts)])
+    assert lm.count_words(d.limit(0)).count() == 0
+
+
 def test_lm_learns_from_every_training_row(spark):
     """Weights follow from all training rows, so no row counts for more by its id."""
     rng = np.random.default_rng(6)
