@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,55 +79,93 @@ def token_cosine(a: Column, b: Column) -> Column:
     return bound(F.struct(F.array_distinct(a).alias("a"), F.array_distinct(b).alias("b")), score)
 
 
-def _lcs(masks: dict[str, int], m: int, text: str) -> int:
-    """Length of the longest common subsequence, a bit per character of the short string."""
-    full = (1 << m) - 1
-    s = full
-    for ch in text:
-        u = s & masks.get(ch, 0)
-        s = (s + u | s - u) & full
-    return m - s.bit_count()
-
-
 def partial_ratio(a: str | None, b: str | None) -> int:
     """Best indel ratio (0 to 100, cut to whole numbers) of the shorter string and a stretch of the longer.
 
     Stretches are as long as the short string, or cut by an end of the long one; of strings of one length each is taken
     as the short one. Two empty strings give 100, one gives 0.
     """
-    a, b = a or "", b or ""
-    return max(_one_sided(a, b), _one_sided(b, a)) if len(a) == len(b) else _one_sided(a, b)
-
-
-def _one_sided(a: str, b: str) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 100 if not b else 0
-    if a in b:
-        return 100
+    return partial_ratios([a], [b])[0]
+
+
+#: Cells of a step of :func:`_combed`: so many strings go side by side that their short ones have as many characters.
+SIDE_BY_SIDE = 16_384
+
+
+def partial_ratios(a: Iterable[str | None], b: Iterable[str | None]) -> list[int]:
+    """:func:`partial_ratio` of each pair."""
+    out, todo = [], []
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = sorted((x or "", y or ""), key=len)
+        out.append(100 if x in y and (x or not y) else 0)
+        if x and not out[i]:
+            todo.append((len(x), len(y), i, x, y))
+            if len(x) == len(y):
+                todo.append((len(x), len(y), i, y, x))
+    todo.sort(key=lambda t: t[:3])
+    while todo:
+        some = todo[-max(1, min(256, SIDE_BY_SIDE // todo[-1][0])) :]
+        del todo[-len(some) :]
+        for (*_, i, _, _), best in zip(some, _best_stretches([t[3] for t in some], [t[4] for t in some]), strict=True):
+            out[i] = max(out[i], int(100 * best))
+    return out
+
+
+def _codes(texts: list[str], blank: int) -> np.ndarray:
+    """Characters of a text in a column of its own, filled up with ``blank``."""
+    out = np.full((max(map(len, texts)), len(texts)), blank, dtype=np.int32)
+    for k, t in enumerate(texts):
+        out[: len(t), k] = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+    return out
+
+
+def _combed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where the strands begin that leave at the bottom of the grid of two strings, after Tiskin's semi-local LCS.
+
+    ``a``: (m, pairs), ``b``: (n, pairs). Strands enter at the left (numbers below 0) and at the top (0 to n - 1). Two that
+    meet in a cell cross unless they have crossed before; where characters are equal they don't meet. The LCS of the whole
+    of ``a`` and ``b[i:j]`` is j - i less the strands that enter at i or later and leave before j. All cells of an
+    anti-diagonal, of all pairs, go at once.
+    """
     m, n = len(a), len(b)
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | 1 << i
-    best, spare, common = 0.0, Counter(a), 0  # common: characters that short string and stretch share, in any order
-    for start in range(1 - m, n):
-        if start + m <= n:
-            ch = b[start + m - 1]
-            spare[ch] -= 1
-            common += spare[ch] >= 0
-        if start > 0:
-            ch = b[start - 1]
-            common -= spare[ch] >= 0
-            spare[ch] += 1
-        if 2 * common / (2 * m) <= best and 0 <= start <= n - m:
-            continue
-        piece = b[max(0, start) : start + m]
-        if 2 * min(common, len(piece)) / (m + len(piece)) > best:
-            best = max(best, 2 * _lcs(masks, m, piece) / (m + len(piece)))
-    return int(100 * best)
+    kind = np.int16 if m + n < 1 << 15 and max(a.max(), b.max()) < 1 << 15 else np.int32
+    a, b = np.ascontiguousarray(a[::-1], dtype=kind), b.astype(kind)
+    h = np.repeat(np.arange(-m, 0, dtype=kind)[:, None], a.shape[1], axis=1)
+    v = np.repeat(np.arange(n, dtype=kind)[:, None], a.shape[1], axis=1)
+    for d in range(m + n - 1):
+        top, low = max(0, m - 1 - d), max(0, d - m + 1)
+        size = min(m - top, n - low)
+        x, y = h[top : top + size], v[low : low + size]
+        equal = a[top : top + size] == b[low : low + size]
+        both = x ^ y
+        less = np.minimum(x, y)
+        less ^= (less ^ y) & -equal.view(np.int8).astype(kind)  # equal: the strand from above turns
+        x[:] = less
+        np.bitwise_xor(both, less, out=y)
+    return v
+
+
+def _best_stretches(short: list[str], long: list[str]) -> list[float]:
+    """Best indel ratio of each short string and a stretch of the long one."""
+    begins, out = _combed(_codes(short, -1), _codes(long, -2)), []
+    for k, (a, b) in enumerate(zip(short, long, strict=True)):
+        m, n = len(a), len(b)
+        s, e = begins[:n, k].astype(np.int64), np.arange(n)
+        top = s >= 0
+        # lengths of common subsequences with the first j characters, the last ones from i on, and m of them that end at j
+        first = np.arange(1, n + 1) - np.cumsum(top)
+        ends = np.bincount(s[top], minlength=n)
+        last = np.arange(n, 0, -1) - np.cumsum(ends[::-1])[::-1]
+        near = top & (e - s < m)
+        within = np.cumsum(np.bincount(e[near] + 1, minlength=n + m + 2) - np.bincount(s[near] + m + 1, minlength=n + m + 2))
+        sizes = np.arange(1, m)
+        best = max((2 * (m - within[m : n + 1]) / (m + m)).max(), 0.0)
+        if m > 1:
+            best = max(best, (2 * first[: m - 1] / (m + sizes)).max(), (2 * last[n - m + 1 :][::-1] / (m + sizes)).max())
+        out.append(float(best))
+    return out
 
 
 @F.pandas_udf(IntegerType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([partial_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+    return pd.Series(partial_ratios(a, b), dtype="int32")
