@@ -5,8 +5,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from veriflume.functions import similarity
-from veriflume.operators import tables
+from veriflume.functions import segment, similarity
+from veriflume.operators import retrieve, tables
 
 
 def best_name(raw, paths):
@@ -106,3 +106,27 @@ def test_partial_ratio_of_long_texts_is_quick():
     start = time.time()
     assert all(40 < x < 90 for x in similarity.partial_ratios(a, b))
     assert time.time() - start < 15
+
+
+def test_only_cited_sources_are_counted(spark):
+    """Units of sources that no query asks for leave before their tokens explode (they were counted and joined)."""
+    units = spark.createDataFrame([(f"s{i}", 0, ["a", "b", f"w{i}"]) for i in range(200)], "sha string, unit_idx int, tokens array<string>")
+    asked = spark.createDataFrame([(1, "s7", ["a", "w7"])], "query_id long, sha string, tokens array<string>")
+    assert [r.sha for r in retrieve.cited(units, asked).collect()] == ["s7"]
+    assert [(r.query_id, r.unit_idx) for r in retrieve.bm25(units, asked).collect()] == [(1, 0)]
+
+
+def test_initials_as_in_sql(spark):
+    """An initial behind a letter that isn't ASCII is none; the blank behind one initial doesn't open the next."""
+    df = spark.createDataFrame([("Said \u00e9A. Then J. K. Row.",)], "t string")
+    assert df.select(segment.sentences_abbrev(F.col("t")).alias("s")).first().s == ["Said \u00e9A.", "Then J. K.", "Row."]
+
+
+def test_jaccard_of_ngrams_by_sets(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("aBcé😀İ") for _ in range(r.randint(0, 14)))
+    rows = [(i, word(), word()) for i in range(200)] + [(200, None, "abc"), (201, None, None)]
+    df = spark.createDataFrame(rows, "k int, a string, b string").select("k", F.lower(F.coalesce("a", F.lit(""))).alias("x"), F.lower(F.coalesce("b", F.lit(""))).alias("y"), similarity.char_jaccard(F.col("a"), F.col("b")).alias("j"))
+    for row in df.collect():
+        p, q = ({s[i : i + 5] for i in range(max(1, len(s) - 4))} if s else set() for s in (row.x, row.y))
+        assert row.j == (len(p & q) / len(p | q) if p or q else 0.0)
