@@ -379,6 +379,59 @@ def test_lm_leaves_out_what_it_forecasts():
     assert np.abs(got - want).sum() <= 0.02 * got.sum()
 
 
+def test_lm_scores_with_few_steps(monkeypatch):
+    """A word is looked up once a block of texts, not once a token, and a logarithm serves four bits."""
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counting.asked += 1
+            return super().get(*args)
+
+    rng = np.random.default_rng(9)
+    corpus = lm_corpus(rng)
+    m, _ = small_mixer(rng, corpus)
+    lexicon = lm.Lexicon(m)
+    lexicon.slots = Counting()
+    slots = lexicon.lookup(corpus)
+    assert Counting.asked <= len({w for t in corpus for w in t}) + 1 < sum(map(len, slots)) / 4
+    taken, log = [], np.log
+    monkeypatch.setattr(np, "log", lambda x, *args, **more: taken.append(np.size(x)) or log(x, *args, **more))
+    lm.token_scores(lexicon, slots)
+    n_bits = sum(8 * len(lm.spelled(w)) for t in corpus for w in [*t, b"\n"])
+    assert sum(taken) <= n_bits / 4 + 8
+
+
+def test_lm_scores_whatever_lies_beside(monkeypatch):
+    """What a worker tells of a text doesn't depend on how texts are dealt into blocks, and holds the text's own words."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    corpus = lm_corpus(rng)
+    m, seen = small_mixer(rng, corpus)
+    base = {w: -1.0 - i / 100 for i, (w, _) in enumerate(seen.most_common(40))}
+    texts = [" ".join(w.decode() for w in t) for t in corpus] + ["", None, " \t\n ", "  \u00c9t\u00e9 \u00e9T\u00c9 ABC abc", "x" * 3000, "a b " * 900]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "train": [i % 3 > 0 for i in range(len(texts))]})
+
+    def told():
+        lexicon = lm.Lexicon(m, base)
+        return [r for part in lm.blocks(batch) for r in lm.scored_rows(lexicon, part).to_pylist()]
+
+    one = told()
+    monkeypatch.setattr(lm, "BLOCK", 300)
+    monkeypatch.setattr(lm, "SIDE", 3)
+    monkeypatch.setattr(lm, "REMEMBERED", (800, 1600))
+    assert len(list(lm.blocks(batch))) > 10 and sum(map(len, lm.blocks(batch))) == len(texts)
+    for i, (a, b) in enumerate(zip(one, told(), strict=True)):
+        words = [*lm.tokens(texts[i]), b"\n"]
+        assert a["opening"] == pytest.approx(b.pop("opening"), rel=1e-5) and a["spelled"] == pytest.approx(b.pop("spelled"), rel=1e-5)
+        assert {k: a[k] for k in b} == b
+        assert (a["n_tokens"], a["held_out"], a["n_bytes"]) == (len(words), i % 3 == 0, len((texts[i] or "").encode()))
+        assert a["rare"] == [w.decode() for w in words if w not in base] and a["n_known"] == sum(w in base for w in words)
+        assert a["base"] == pytest.approx(sum(base.get(w, 0) for w in words))
+
+
 def test_lm_match_model(spark):
     """Forecasts by the most frequent stretch in the other training texts, against dictionaries."""
     rng = np.random.default_rng(8)
